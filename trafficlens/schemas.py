@@ -8,153 +8,288 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+STRING, DOUBLE, LONG = StringType(), DoubleType(), LongType()
+DATE, BOOLEAN, CLOCK = DateType(), BooleanType(), TimestampNTZType()
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(columns: dict[str, DataType]) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
 VIEWS = _schema(
-    """
-    longName string, shortName string, accountName string, viewID string,
-    accountId string, webPropertyId string, internalWebPropertyId string,
-    viewName string, timezone string, websiteUrl string,
-    botFilteringEnabled string, description string, projectContact string,
-    projectContactEmail string, analyticsContact string,
-    analyticsContactEmail string
-    """
+    {
+        "longName": STRING,
+        "shortName": STRING,
+        "accountName": STRING,
+        "viewID": STRING,
+        "accountId": STRING,
+        "webPropertyId": STRING,
+        "internalWebPropertyId": STRING,
+        "viewName": STRING,
+        "timezone": STRING,
+        "websiteUrl": STRING,
+        "botFilteringEnabled": STRING,
+        "description": STRING,
+        "projectContact": STRING,
+        "projectContactEmail": STRING,
+        "analyticsContact": STRING,
+        "analyticsContactEmail": STRING,
+    }
 )
 
 FACTS: dict[str, StructType] = {
     "daily": _schema(
-        "date date, sessions double, users double, view_id string, view_name string"
+        {
+            "date": DATE,
+            "sessions": DOUBLE,
+            "users": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
     ),
     "monthly": _schema(
-        """
-        year string, month string, sessions double, avgSessionDuration double,
-        pageviewsPerSession double, percentNewSessions double,
-        view_id string, view_name string
-        """
+        {
+            "year": STRING,
+            "month": STRING,
+            "sessions": DOUBLE,
+            "avgSessionDuration": DOUBLE,
+            "pageviewsPerSession": DOUBLE,
+            "percentNewSessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
     ),
     "geo": _schema(
-        """
-        region string, country string, sessions double,
-        view_id string, view_name string, period string
-        """
+        {
+            "region": STRING,
+            "country": STRING,
+            "sessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+            "period": STRING,
+        }
     ),
     "device": _schema(
-        """
-        deviceCategory string, browser string, dayOfWeekName string,
-        sessions double, percentNewSessions double, sessionDuration double,
-        view_id string, view_name string, period string
-        """
+        {
+            "deviceCategory": STRING,
+            "browser": STRING,
+            "dayOfWeekName": STRING,
+            "sessions": DOUBLE,
+            "percentNewSessions": DOUBLE,
+            "sessionDuration": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+            "period": STRING,
+        }
     ),
     "paths": _schema(
-        """
-        landingPagePath string, secondPagePath string, exitPagePath string,
-        sessions double, view_id string, view_name string
-        """
+        {
+            "landingPagePath": STRING,
+            "secondPagePath": STRING,
+            "exitPagePath": STRING,
+            "sessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
     ),
     "load": _schema(
-        """
-        pagePath string, pageLoadSample double, avgPageLoadTime double,
-        avgPageDownloadTime double, avgDomContentLoadedTime double,
-        exitRate double, view_id string, view_name string
-        """
+        {
+            "pagePath": STRING,
+            "pageLoadSample": DOUBLE,
+            "avgPageLoadTime": DOUBLE,
+            "avgPageDownloadTime": DOUBLE,
+            "avgDomContentLoadedTime": DOUBLE,
+            "exitRate": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
     ),
     "page_views": _schema(
-        "pagePath string, date date, uniquePageviews double, pageViews double"
+        {
+            "pagePath": STRING,
+            "date": DATE,
+            "uniquePageviews": DOUBLE,
+            "pageViews": DOUBLE,
+        }
     ),
     "population": _schema(
-        """
-        REGION string, DIVISION string, STATE bigint, NAME string,
-        POPESTIMATE2019 bigint
-        """
+        {
+            "REGION": STRING,
+            "DIVISION": STRING,
+            "STATE": LONG,
+            "NAME": STRING,
+            "POPESTIMATE2019": LONG,
+        }
     ),
     "hits": _schema(
-        """
-        hit_id bigint, view_id string, view_name string, user_id bigint,
-        ts timestamp_ntz, pagePath string, load_ms double, download_ms double,
-        dom_ms double, deviceCategory string, browser string
-        """
+        {
+            "hit_id": LONG,
+            "view_id": STRING,
+            "view_name": STRING,
+            "user_id": LONG,
+            "ts": CLOCK,
+            "pagePath": STRING,
+            "load_ms": DOUBLE,
+            "download_ms": DOUBLE,
+            "dom_ms": DOUBLE,
+            "deviceCategory": STRING,
+            "browser": STRING,
+        }
     ),
 }
 
 OUTPUTS: dict[str, StructType] = {
     "three_year_traffic": _schema(
-        """
-        date date, sessions double, users double, view_id string,
-        view_name string, year date, fiscal_year date
-        """
+        {
+            "date": DATE,
+            "sessions": DOUBLE,
+            "users": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+            "year": DATE,
+            "fiscal_year": DATE,
+        }
     ),
     "year_month_week": _schema(
-        """
-        view_name string, view_id string, sessions double, users double,
-        period string
-        """
+        {
+            "view_name": STRING,
+            "view_id": STRING,
+            "sessions": DOUBLE,
+            "users": DOUBLE,
+            "period": STRING,
+        }
     ),
     "compared_to_last_year": _schema(
-        """
-        view_name string, view_id string, sessions_this_year double,
-        n_this_year bigint, first_non_zero_date_this_year date,
-        sessions_last_year double, n_last_year bigint,
-        first_non_zero_date_last_year date, percent_change double, period string
-        """
+        {
+            "view_name": STRING,
+            "view_id": STRING,
+            "sessions_this_year": DOUBLE,
+            "n_this_year": LONG,
+            "first_non_zero_date_this_year": DATE,
+            "sessions_last_year": DOUBLE,
+            "n_last_year": LONG,
+            "first_non_zero_date_last_year": DATE,
+            "percent_change": DOUBLE,
+            "period": STRING,
+        }
     ),
     "long_term_monthly": _schema(
-        """
-        year string, month string, sessions double, avgSessionDuration double,
-        pageviewsPerSession double, percentNewSessions double, view_id string,
-        view_name string, first_of_month date, fiscal_year date, backfill boolean
-        """
+        {
+            "year": STRING,
+            "month": STRING,
+            "sessions": DOUBLE,
+            "avgSessionDuration": DOUBLE,
+            "pageviewsPerSession": DOUBLE,
+            "percentNewSessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+            "first_of_month": DATE,
+            "fiscal_year": DATE,
+            "backfill": BOOLEAN,
+        }
     ),
     "state_traffic": _schema(
-        """
-        region string, country string, sessions double, view_id string,
-        view_name string, period string
-        """
+        {
+            "region": STRING,
+            "country": STRING,
+            "sessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+            "period": STRING,
+        }
     ),
     "state_traffic_population_percentages": _schema(
-        """
-        view_name string, region string, view_id string, period string,
-        sessions double, DIVISION string, STATE bigint, POPESTIMATE2019 bigint,
-        pop_pct double, sessions_total_period double, sessions_pct double,
-        sessions_population_ratio double, country string
-        """
+        {
+            "view_name": STRING,
+            "region": STRING,
+            "view_id": STRING,
+            "period": STRING,
+            "sessions": DOUBLE,
+            "DIVISION": STRING,
+            "STATE": LONG,
+            "POPESTIMATE2019": LONG,
+            "pop_pct": DOUBLE,
+            "sessions_total_period": DOUBLE,
+            "sessions_pct": DOUBLE,
+            "sessions_population_ratio": DOUBLE,
+            "country": STRING,
+        }
     ),
     "regionality": _schema(
-        "view_name string, view_id string, period string, region_metric_all double"
+        {
+            "view_name": STRING,
+            "view_id": STRING,
+            "period": STRING,
+            "region_metric_all": DOUBLE,
+        }
     ),
     "state_week_vs_year": _schema(
-        """
-        view_id string, view_name string, region string, `365_days` double,
-        `30_days` double, `7_days` double, week_over_year double,
-        weekly_average double, week_percent_from_average double
-        """
+        {
+            "view_id": STRING,
+            "view_name": STRING,
+            "region": STRING,
+            "365_days": DOUBLE,
+            "30_days": DOUBLE,
+            "7_days": DOUBLE,
+            "week_over_year": DOUBLE,
+            "weekly_average": DOUBLE,
+            "week_percent_from_average": DOUBLE,
+        }
     ),
     "summary_numbers": _schema(
-        """
-        deviceCategory string, browser string, dayOfWeekName string,
-        sessions double, percentNewSessions double, sessionDuration double,
-        view_id string, view_name string, period string, newSessions double
-        """
+        {
+            "deviceCategory": STRING,
+            "browser": STRING,
+            "dayOfWeekName": STRING,
+            "sessions": DOUBLE,
+            "percentNewSessions": DOUBLE,
+            "sessionDuration": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+            "period": STRING,
+            "newSessions": DOUBLE,
+        }
     ),
     "landing_exit_pages": _schema(
-        """
-        landingPagePath string, secondPagePath string, exitPagePath string,
-        sessions double, view_id string, view_name string
-        """
+        {
+            "landingPagePath": STRING,
+            "secondPagePath": STRING,
+            "exitPagePath": STRING,
+            "sessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
     ),
     "page_load": _schema(
-        """
-        pagePath string, pageLoadSample double, avgPageLoadTime double,
-        avgPageDownloadTime double, avgDomContentLoadedTime double,
-        exitRate double, view_id string, view_name string
-        """
+        {
+            "pagePath": STRING,
+            "pageLoadSample": DOUBLE,
+            "avgPageLoadTime": DOUBLE,
+            "avgPageDownloadTime": DOUBLE,
+            "avgDomContentLoadedTime": DOUBLE,
+            "exitRate": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
     ),
     "monitoring_location_pages": _schema(
-        "date date, site_no string, uniquePageviews double"
+        {
+            "date": DATE,
+            "site_no": STRING,
+            "uniquePageviews": DOUBLE,
+        }
     ),
 }
 
