@@ -153,3 +153,31 @@ def session_metrics(sessions: DataFrame, by: Sequence[str]) -> DataFrame:
         ratio(F.sum("hits").cast("double"), n).alias("pageviewsPerSession"),
         ratio(F.sum("new") * F.lit(100.0), n).alias("percentNewSessions"),
     )
+
+
+def daily_metrics(sessions: DataFrame) -> DataFrame:
+    """Sessions and users per view and day of the session's start."""
+    dated = sessions.withColumn("date", F.to_date("start_ts"))
+    return session_metrics(dated, ("view_id", "view_name", "date")).select(
+        "date", "sessions", "users", "view_id", "view_name"
+    )
+
+
+def monthly_metrics(sessions: DataFrame) -> DataFrame:
+    """Sessions and per-session ratios per view and month, zero-padded."""
+    dated = sessions.withColumns(
+        {
+            "year": F.date_format("start_ts", "yyyy"),
+            "month": F.date_format("start_ts", "MM"),
+        }
+    )
+    return session_metrics(dated, ("view_id", "view_name", "year", "month")).select(
+        "year",
+        "month",
+        "sessions",
+        "avgSessionDuration",
+        "pageviewsPerSession",
+        "percentNewSessions",
+        "view_id",
+        "view_name",
+    )

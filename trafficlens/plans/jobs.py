@@ -14,7 +14,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.functions.calendar import RunDates, add_calendar_years, as_date, month_start
+from trafficlens.functions.calendar import (
+    RunDates,
+    add_calendar_years,
+    as_date,
+    month_start,
+    resolve_run_dates,
+)
 from trafficlens.operators.backfill import backfill_months
 from trafficlens.operators.geo import (
     Country,
@@ -41,7 +47,8 @@ from trafficlens.operators.views import (
     splice_two_views,
 )
 from trafficlens.schemas import OUTPUTS, conform
-from trafficlens.sinks.datasets import write_dataset
+from trafficlens.sinks.daily import DATASET, run_daily
+from trafficlens.sinks.datasets import dataset_path, write_dataset
 
 # Fixed value: month to which monthly series are filled back.
 BACKFILL_START = dt.date(2009, 11, 1)
@@ -196,3 +203,22 @@ def publish_reports(
     publish("landing_exit_pages", landing_exit_pages(facts["paths"]))
     publish("page_load", page_load(facts["load"]))
     return paths
+
+
+def publish_site_pages(
+    spark: SparkSession,
+    page_views: DataFrame,
+    root: str,
+    now: dt.datetime,
+    tier: str = "test",
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> str:
+    """Add the site page counts of yesterday, or of a range to fill a gap.
+
+    Days accumulate: only the days of the range are replaced.
+    """
+    yesterday = resolve_run_dates(spark, now).yesterday
+    path = dataset_path(root, tier, DATASET)
+    run_daily(page_views, path, start or yesterday, end or start or yesterday)
+    return path

@@ -323,6 +323,12 @@ HIT_QUERIES: dict[str, Query] = {
     ),
     "session_metrics": _session_metrics("view_id", "view_name"),
     "session_metrics_by_device": _session_metrics("view_id", "view_name", "deviceCategory"),
+    "daily_metrics": lambda s, d: sessions.daily_metrics(
+        sessions.sessionize(sample.hits(s, d), GAP)
+    ),
+    "monthly_metrics": lambda s, d: rounded(
+        sessions.monthly_metrics(sessions.sessionize(sample.hits(s, d), GAP)), *RATIOS
+    ),
     "session_paths": lambda s, d: pages.session_paths(sample.hits(s, d), GAP),
     "landing_exit_pages": lambda s, d: pages.landing_exit_pages(
         pages.landing_second_exit(pages.session_paths(sample.hits(s, d), GAP))

@@ -22,9 +22,9 @@ from trafficlens.functions.numbers import ratio
 from trafficlens.operators.periods import (
     Period,
     newest_day,
-    period_fanout,
     standard_periods,
 )
+from trafficlens.sources.readers import geo_report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,26 +144,33 @@ def order_periods(spark: SparkSession, sf_dir: str, fiscal: bool = False) -> lis
     return standard_periods(run_date, fiscal)
 
 
-def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by nation (region), world region (country), segment and period."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+def daily_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by nation (region), world region (country), segment and day."""
     per_user = (
-        period_fanout(orders, order_periods(spark, sf_dir), "o_orderdate")
-        .groupBy("o_custkey", "period")
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", F.to_date("o_orderdate").alias("date"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_nation = (
         per_user.join(_customers(spark, sf_dir, "c_nationkey"), "o_custkey")
-        .groupBy("c_nationkey", "c_mktsegment", "period")
+        .groupBy("c_nationkey", "c_mktsegment", "date")
         .agg(F.sum("n").cast("double").alias("sessions"))
     )
     return (
         per_nation.join(_nations(spark, sf_dir), "c_nationkey")
         .withColumns(_view_columns(F.col("c_mktsegment")))
-        .select("region", "country", "sessions", "view_id", "view_name", "period")
+        .select("date", "region", "country", "sessions", "view_id", "view_name")
     )
 
 
+def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The geographic report over the year, month and week before the newest day.
+
+    The windows bound the scan of the orders: their dates are values here.
+    """
+    return geo_report(daily_geo(spark, sf_dir), order_periods(spark, sf_dir))
+
+
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "nation")
