@@ -1,0 +1,126 @@
+import datetime as dt
+
+from conftest import day, rows
+
+from trafficlens.operators import pages
+from trafficlens.sinks import daily as sink
+from trafficlens.streaming import site_counts
+
+SCHEMA = "pagePath string, date date, uniquePageviews double, pageViews double"
+
+
+def page_views(spark, *records):
+    return spark.createDataFrame([(p, day(d), u, u) for p, d, u in records], SCHEMA)
+
+
+def test_site_numbers(spark):
+    df = page_views(
+        spark,
+        ("/a?site=01234567", "2021-01-01", 1.0),
+        ("/b/01234567/x", "2021-01-01", 2.0),
+        ("/twice/01234567,01234567", "2021-01-01", 4.0),
+        ("/two/01234567/123456789012345", "2021-01-01", 8.0),
+        ("/long/1234567890123456", "2021-01-01", 16.0),
+        ("/seven/1234567 nine/123456789 fourteen/12345678901234", "2021-01-01", 32.0),
+        ("/nothing", "2021-01-01", 64.0),
+        ("/zero/01234567", "2021-01-01", 0.0),
+        ("/a?site=01234567", "2021-01-02", 128.0),
+        (None, "2021-01-02", 256.0),
+    )
+    expected = [
+        (day("2021-01-01"), "01234567", 19.0),
+        (day("2021-01-01"), "123456789012345", 8.0),
+        (day("2021-01-02"), "01234567", 128.0),
+    ]
+    assert rows(pages.site_page_counts(df)) == expected
+    # The source filter lets other lengths through but loses no site number.
+    filtered = pages.site_page_views(df)
+    assert filtered.count() == 8
+    assert rows(pages.site_page_counts(filtered)) == expected
+
+
+FIRST, LAST = day("2021-01-01"), day("2021-01-03")
+
+
+def test_rerun_replaces_its_days_only(spark, tmp_path):
+    path = str(tmp_path / "days")
+    df = page_views(
+        spark,
+        ("/11111111", "2020-12-31", 9.0),
+        ("/11111111", "2021-01-01", 1.0),
+        ("/22222222", "2021-01-01", 2.0),
+        ("/11111111", "2021-01-02", 3.0),
+        ("/11111111", "2021-01-04", 9.0),
+    )
+    assert sink.run_daily(df, path, FIRST, LAST) == [FIRST, day("2021-01-02")]
+    first = [
+        (FIRST, "11111111", 1.0), (FIRST, "22222222", 2.0), (day("2021-01-02"), "11111111", 3.0),
+    ]
+    assert rows(sink.read_days(spark, path)) == first
+    sink.run_daily(df, path, FIRST, LAST)
+    assert rows(sink.read_days(spark, path)) == first
+
+    again = page_views(spark, ("/33333333", "2021-01-01", 5.0))
+    sink.run_daily(again, path, FIRST)
+    assert rows(sink.read_days(spark, path)) == [(FIRST, "33333333", 5.0), first[2]]
+
+    # A day that has become empty keeps no old rows.
+    sink.run_daily(again.limit(0), path, FIRST)
+    assert rows(sink.read_days(spark, path)) == [first[2]]
+
+
+def test_read_prunes_days(spark, tmp_path):
+    path = str(tmp_path / "days")
+    sink.run_daily(page_views(spark, ("/11111111", "2021-01-01", 1.0)), path, FIRST, LAST)
+    plan = sink.read_days(spark, path).filter("date = date'2021-01-02'")
+    assert "PartitionFilters: [isnotnull(date" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def stream(spark, folder):
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def run_stream(spark, folder, tmp_path, **options):
+    counts = site_counts.streaming_site_page_counts(stream(spark, folder), **options)
+    log = str(tmp_path / "log")
+    site_counts.start_counts(counts, log, str(tmp_path / "checkpoint")).awaitTermination()
+    return site_counts.current_counts(spark, log)
+
+
+def test_stream_equals_batch_over_several_runs(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    parts = [
+        [("/11111111", "2021-01-01", 1.0), ("/11111111/11111111", "2021-01-02", 2.0)],
+        [("/11111111", "2021-01-02", 4.0), ("/22222222", "2021-01-02", 8.0)],
+        [("/11111111", "2021-01-01", 16.0), ("/7777777", "2021-01-03", 1.0)],
+    ]
+    for part in parts[:2]:
+        page_views(spark, *part).coalesce(1).write.mode("append").parquet(folder)
+    run_stream(spark, folder, tmp_path)
+    page_views(spark, *parts[2]).coalesce(1).write.mode("append").parquet(folder)
+    got = rows(run_stream(spark, folder, tmp_path), "date", "site_no", "uniquePageviews")
+    batch = pages.site_page_counts(spark.read.parquet(folder))
+    assert got == rows(batch, "date", "site_no", "uniquePageviews")
+
+
+def test_page_views_beyond_the_watermark_are_dropped(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for record in (
+        ("/11111111", "2021-01-01", 1.0),
+        ("/11111111", "2021-03-01", 2.0),
+        ("/11111111", "2021-01-01", 4.0),  # two months late
+    ):
+        page_views(spark, record).coalesce(1).write.mode("append").parquet(folder)
+        got = rows(run_stream(spark, folder, tmp_path, lateness="2 days"))
+    assert got == [(day("2021-01-01"), "11111111", 1.0), (day("2021-03-01"), "11111111", 2.0)]
+
+
+def test_stream_days_do_not_depend_on_the_session_zone(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    page_views(spark, ("/11111111", "2021-01-01", 1.0)).write.parquet(folder)
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = rows(run_stream(spark, folder, tmp_path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [(dt.date(2021, 1, 1), "11111111", 1.0)]

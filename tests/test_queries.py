@@ -1,0 +1,85 @@
+"""Registered queries: equal to their oracle, and planned as intended."""
+
+import math
+import re
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+QUERIES = entry_points.queries()
+ORACLES = entry_points.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def oracle(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def plain(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return "NULL"
+    if isinstance(value, float):
+        return repr(round(value, 9) + 0.0)
+    return str(value)
+
+
+def canonical(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(plain(r[i]) for i in order) for r in records)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, sf_dir, oracle, name):
+    got = QUERIES[name](spark, sf_dir)
+    expected = oracle.sql(ORACLES[name])
+    assert sorted(got.columns) == sorted(expected.columns)
+    assert canonical(got.columns, got.collect()) == canonical(
+        expected.columns, expected.fetchall()
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(
+        r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin|SinglePartition, REPARTITION", plan
+    )
+    # A single partition only ever holds one row per task of a global aggregate.
+    for line in re.findall(r"Window.*", plan):
+        assert not re.search(r"Window .*\], \[\]$", line), line
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    ("name", "scans"),
+    [
+        ("totals_multi_period", 1),
+        ("compare_to_last_year_30d", 1),
+        ("period_fanout", 1),
+        ("geo_report", 1),
+        ("summary_numbers", 0),
+    ],
+)
+def test_overlapping_windows_scan_the_fact_once(spark, sf_dir, name, scans):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == scans
+
+
+@pytest.mark.parametrize("name", ["totals_last_n_days", "geo_report", "compare_to_last_year_7d"])
+def test_window_bounds_reach_the_raw_scan(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "orders.parquet" in line)
+    assert re.search(r"PushedFilters: \[.*o_orderdate,2", scan), scan
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in scan

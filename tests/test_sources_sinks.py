@@ -1,0 +1,165 @@
+import datetime as dt
+import json
+
+import pytest
+from conftest import day, rows
+
+from trafficlens import schemas
+from trafficlens.functions.calendar import resolve_run_dates
+from trafficlens.session import shared_folder, staged
+from trafficlens.sinks import datasets
+from trafficlens.sources import readers
+
+
+def test_view_dimension(spark, tmp_path):
+    path = tmp_path / "views.json"
+    path.write_text(
+        json.dumps(
+            [
+                {"longName": "A", "viewID": "007", "botFilteringEnabled": "TRUE"},
+                {"longName": "B", "viewID": "8", "botFilteringEnabled": "FALSE"},
+                {"longName": "B again", "viewID": "8", "botFilteringEnabled": ""},
+                {"longName": "C", "viewID": "9", "botFilteringEnabled": "NA"},
+                {"longName": "D", "viewID": "10"},
+            ]
+        )
+    )
+    got = readers.read_views(spark, str(path))
+    assert rows(got, "view_name", "view_id", "botFilteringEnabled", "projectContact") == [
+        ("A", "007", True, None), ("B", "8", False, None), ("B again", "8", None, None),
+        ("C", "9", None, None), ("D", "10", None, None),
+    ]
+
+
+def test_population_file(spark, tmp_path):
+    path = tmp_path / "population.csv"
+    path.write_text(
+        "SUMLEV,REGION,DIVISION,STATE,NAME,CENSUS2010POP,POPESTIMATE2019,X\n"
+        "010,0,0,00,United States,308745538,328239523,1\n"
+        "040,3,6,01,Alabama,4779736,4903185,1\n"
+        "040,X,X,72,Puerto Rico,3725789,3193694,1\n"
+    )
+    got = readers.read_population(spark, str(path))
+    assert got.schema.simpleString() == schemas.FACTS["population"].simpleString()
+    assert rows(got) == [
+        ("0", "0", 0, "United States", 328239523),
+        ("3", "6", 1, "Alabama", 4903185),
+        ("X", "X", 72, "Puerto Rico", 3193694),
+    ]
+
+
+def test_reports_with_different_columns(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame(
+        [(day("2021-05-19"), 1.0, 2.0, "a", "A")], schemas.FACTS["daily"]
+    ).write.parquet(a)
+    spark.createDataFrame(
+        [(day("2021-05-19"), 3.0, "b", "B")],
+        "date date, sessions double, view_id string, view_name string",
+    ).write.parquet(b)
+    expected = [("A", 2.0), ("B", None)]
+    assert rows(readers.read_fact(spark, [a, b], "daily"), "view_name", "users") == expected
+    united = readers.union_reports([spark.read.parquet(a), spark.read.parquet(b)])
+    assert rows(united, "view_name", "users") == expected
+
+
+def test_report_windows(spark, tmp_path):
+    run = resolve_run_dates(spark, dt.datetime(2021, 5, 20, 16))
+    daily, monthly = str(tmp_path / "daily"), str(tmp_path / "monthly")
+    spark.createDataFrame(
+        [
+            (day(d), 1.0, 1.0, "a", "A")
+            for d in ("2018-03-31", "2018-04-01", "2021-05-19", "2021-05-20")
+        ],
+        schemas.FACTS["daily"],
+    ).write.parquet(daily)
+    report = readers.daily_report(spark, daily, run)
+    assert rows(report, "date") == [(day("2018-04-01"),), (day("2021-05-19"),)]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2018-04-01)" in plan
+
+    spark.createDataFrame(
+        [
+            (y, m, 1.0, 1.0, 1.0, 1.0, "a", "A")
+            for y, m in (("2009", "09"), ("2009", "10"), ("2021", "04"), ("2021", "05"))
+        ],
+        schemas.FACTS["monthly"],
+    ).write.parquet(monthly)
+    report = readers.monthly_report(spark, monthly, run)
+    assert rows(report, "year", "month") == [("2009", "10"), ("2021", "04")]
+
+
+def test_site_page_report(spark, tmp_path):
+    path = str(tmp_path / "views")
+    spark.createDataFrame(
+        [("/12345678", day("2021-01-01"), 1.0, 1.0), ("/x", day("2021-01-01"), 1.0, 1.0),
+         ("/12345678", day("2021-01-02"), 1.0, 1.0)],
+        schemas.FACTS["page_views"],
+    ).write.parquet(path)
+    one_day = day("2021-01-01")
+    got = readers.site_page_report(spark, path, one_day, one_day)
+    assert rows(got, "pagePath", "date") == [("/12345678", one_day)]
+
+
+REGIONALITY = [("A", "a", "7 days", 0.5)]
+
+
+def regionality(spark, *records):
+    return spark.createDataFrame(records, schemas.OUTPUTS["regionality"])
+
+
+def test_write_replaces_and_tiers_are_separate(spark, tmp_path):
+    root = str(tmp_path)
+    df = regionality(spark, *REGIONALITY, ("B", "b", "7 days", 0.1))
+    datasets.write_dataset(df, root, "test", "regionality")
+    datasets.write_dataset(df, root, "production", "regionality")
+    path = datasets.write_dataset(regionality(spark, *REGIONALITY), root, "test", "regionality")
+    assert rows(spark.read.parquet(path)) == REGIONALITY
+    assert spark.read.parquet(f"{root}/production/regionality").count() == 2
+    with pytest.raises(ValueError, match="tier"):
+        datasets.write_dataset(df, root, "elsewhere", "regionality")
+
+
+def test_write_checks_the_schema(spark, tmp_path):
+    wrong = regionality(spark, *REGIONALITY).selectExpr(
+        "view_name", "view_id", "cast(region_metric_all as float) region_metric_all"
+    )
+    with pytest.raises(ValueError, match="period: .*no such column.*got float"):
+        datasets.write_dataset(wrong, str(tmp_path), "test", "regionality")
+
+
+def test_extra_columns_are_not_published(spark, tmp_path):
+    df = regionality(spark, *REGIONALITY).selectExpr("1 as extra", "*")
+    path = datasets.write_dataset(df, str(tmp_path), "test", "regionality")
+    assert spark.read.parquet(path).columns == schemas.OUTPUTS["regionality"].names
+
+
+def test_declared_tables(spark, tmp_path):
+    root = str(tmp_path)
+    week = spark.createDataFrame(
+        [("a", "A", "California", 521.4, 50.0, 15.0, 0.1, 10.0, 50.0)],
+        schemas.OUTPUTS["state_week_vs_year"],
+    )
+    datasets.write_dataset(week, root, "test", "state_week_vs_year")
+    datasets.write_dataset(regionality(spark, *REGIONALITY), root, "test", "regionality")
+    names = ["state_week_vs_year", "regionality"]
+    for _ in range(2):  # declaring again is harmless
+        datasets.declare_tables(spark, root, "test", names)
+    try:
+        assert rows(spark.sql("SELECT `7_days`, region FROM state_week_vs_year")) == [
+            (15.0, "California")
+        ]
+        assert rows(spark.table("regionality")) == REGIONALITY
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_staged_frames_keep_schema_and_rows(spark):
+    df = regionality(spark, *REGIONALITY)
+    stored = staged(df, "check")
+    assert stored.schema.simpleString() == df.schema.simpleString()
+    assert rows(stored) == REGIONALITY
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(folder)
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")
