@@ -281,13 +281,16 @@ def _summary(spark, sf_dir):
 
 
 def _portfolio(*by: str) -> Query:
-    return lambda s, d: rounded(
-        summary.portfolio_summary(_summary(s, d), by),
-        "total_session_duration",
-        "avg_session_duration",
-        "new_sessions",
-        scale=3,
-    )
+    def query(spark, sf_dir):
+        totals = summary.portfolio_summary(_summary(spark, sf_dir), by)
+        return rounded(
+            rounded(totals, "total_session_duration"),
+            "avg_session_duration",
+            "new_sessions",
+            scale=3,
+        )
+
+    return query
 
 
 METRIC_RATIOS = (

@@ -27,6 +27,10 @@ from trafficlens.operators.periods import (
 from trafficlens.sources.readers import geo_report
 
 
+# A prime, so that no average of prices ends right between two rounded values.
+PRICE_PER_SECOND = 997
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -129,7 +133,7 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format("m", "yyyy").alias("year"),
             F.date_format("m", "MM").alias("month"),
             n.alias("sessions"),
-            (ratio(F.col("price"), n) / 1000).alias("avgSessionDuration"),
+            (ratio(F.col("price"), n) / PRICE_PER_SECOND).alias("avgSessionDuration"),
             ratio(n, F.col("users")).alias("pageviewsPerSession"),
             ratio(F.col("new") * 100, n).alias("percentNewSessions"),
             "view_id",
@@ -243,10 +247,10 @@ def _counted(df: DataFrame, key: Column, path: Column) -> DataFrame:
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page hits from events: the event type is the page, the value the load
-    time in two hits of three."""
+    """Page hits from events: the event type is the page, the value in whole
+    hundredths the load time of two hits in three."""
     k = F.get_json_object("props", "$.k").cast("int")
-    load_ms = F.when(k % 3 != 0, F.col("value"))
+    load_ms = F.when(k % 3 != 0, F.round(F.col("value") * 100))
     site = (F.col("user_id") % 5).cast("string")
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("hit_id"),
@@ -256,8 +260,8 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.col("event_type").alias("pagePath"),
         load_ms.alias("load_ms"),
-        (load_ms / 4).alias("download_ms"),
-        (load_ms / 2).alias("dom_ms"),
+        (load_ms * 2).alias("download_ms"),
+        (load_ms * 3).alias("dom_ms"),
         F.element_at(
             F.array(*map(F.lit, ("desktop", "mobile", "tablet"))), k % 3 + 1
         ).alias("deviceCategory"),
