@@ -79,21 +79,22 @@ def session_paths(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
         )
     )
     slots = hit_slots(hits, gap, last=["pagePath"]).join(openings, [*SLOT])
-    in_session = W.partitionBy(*USER, "session_no").orderBy("slot")
-    numbered = number_sessions(slots, gap).withColumns(
-        {
-            "position": F.row_number().over(in_session),
-            # A slot of one hit continues with the first page of the next.
-            "second": F.when(F.col("hits") > 1, F.col("page_2")).otherwise(
-                F.lead("page_1").over(in_session)
-            ),
-        }
+    in_order = W.partitionBy(*USER).orderBy("slot")
+    goes_on = F.lead("start_ts").over(in_order) - F.col("end_ts") < F.lit(gap)
+    # A slot of one hit continues with the first page of the session's next.
+    second = F.when(F.col("hits") > 1, F.col("page_2")).when(
+        goes_on, F.lead("page_1").over(in_order)
     )
-    is_first = F.col("position") == 1
+    numbered = number_sessions(slots.withColumn("second", second), gap)
     return numbered.groupBy(*USER, "session_no").agg(
-        F.max(F.when(is_first, F.col("page_1"))).alias("landingPagePath"),
-        F.max(F.when(is_first, F.col("second"))).alias("secondPagePath"),
+        F.min_by(F.struct("page_1", "second"), "slot").alias("opening"),
         F.max_by("last_hit.pagePath", "slot").alias("exitPagePath"),
+    ).select(
+        *USER,
+        "session_no",
+        F.col("opening.page_1").alias("landingPagePath"),
+        F.col("opening.second").alias("secondPagePath"),
+        "exitPagePath",
     )
 
 

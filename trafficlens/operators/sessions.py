@@ -27,7 +27,9 @@ from trafficlens.functions.numbers import ratio
 # Fixed value: the customary inactivity limit of web sessions.
 DEFAULT_GAP = timedelta(minutes=30)
 
-USER = ("view_id", "view_name", "user_id")
+# The user comes first: sorts compare the leading key's prefix, and that one
+# tells most rows apart.
+USER = ("user_id", "view_id", "view_name")
 SLOT = (*USER, "slot")
 
 
