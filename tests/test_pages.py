@@ -102,6 +102,10 @@ def test_stream_equals_batch_over_several_runs(spark, tmp_path):
     batch = pages.site_page_counts(spark.read.parquet(folder))
     assert got == rows(batch, "date", "site_no", "uniquePageviews")
 
+    published = str(tmp_path / "published")
+    site_counts.publish_counts(spark, str(tmp_path / "log"), published, FIRST, LAST)
+    assert rows(sink.read_days(spark, published)) == got
+
 
 def test_page_views_beyond_the_watermark_are_dropped(spark, tmp_path):
     folder = str(tmp_path / "in")

@@ -193,3 +193,33 @@ def test_hits_are_combined_before_every_shuffle(spark):
     assert "Window" not in below_first_shuffle
     paths = pages.session_paths(df, GAP)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in paths[paths.rindex("Exchange"):]
+
+
+def test_hot_slot_is_split_when_hits_are_tagged(spark):
+    """All hits of one user fall into one slot; the join divides them."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    hot = F.col("id") % 2 == 0
+    df = spark.range(0, 400000, 1, 8).select(
+        F.col("id").alias("hit_id"),
+        F.lit("v").alias("view_id"),
+        F.lit("V").alias("view_name"),
+        F.when(hot, F.lit(0)).otherwise(F.col("id")).alias("user_id"),
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 1000)").alias("ts"),
+    )
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        tagged = sessions.tag_hits(df, GAP)
+        assert len(tagged.collect()) == 400000
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -80,7 +80,7 @@ def _trailing_totals(
 
     aggregates = []
     for i, start in enumerate(starts):
-        inside = day >= start
+        inside = day.between(start, newest)
         rows = F.count_if(inside)
         aggregates.append(rows.alias(f"rows_{i}"))
         for metric in ("sessions", "users"):
@@ -88,7 +88,7 @@ def _trailing_totals(
             # NULL as soon as one row inside the window has no value.
             total = F.when(F.count(value) == rows, F.sum(value))
             aggregates.append(total.alias(f"{metric}_{i}"))
-    wide = df.filter(day >= earliest).groupBy("view_name", "view_id").agg(*aggregates)
+    wide = df.filter(day.between(earliest, newest)).groupBy("view_name", "view_id").agg(*aggregates)
 
     per_window = F.array(
         *[

@@ -9,6 +9,7 @@ dropped by the stream; the batch job over the affected days repairs them.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trafficlens.operators.pages import SITE_NUMBER_LENGTHS, site_numbers
+from trafficlens.sinks.daily import write_days
 
 SECONDS_PER_DAY = 86_400
 
@@ -70,3 +72,11 @@ def current_counts(spark: SparkSession, log_path: str) -> DataFrame:
     return log.groupBy("date", "site_no").agg(
         F.max_by("uniquePageviews", "batch").alias("uniquePageviews")
     )
+
+
+def publish_counts(
+    spark: SparkSession, log_path: str, path: str, start: dt.date, end: dt.date
+) -> list[dt.date]:
+    """Write the newest totals of a range of days as day partitions, the layout
+    of the batch job.  Only the files of these days are replaced."""
+    return write_days(current_counts(spark, log_path), path, start, end)
