@@ -377,9 +377,8 @@ def daily_site_partitions(spark, sf_dir):
 
 def streaming_site_page_counts(spark, sf_dir):
     """Stream the page files through the counts and read the newest totals."""
-    schema = sample.table(spark, sf_dir, "pages").schema
     stream = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(sample.SCHEMAS["pages"])
         .option("pathGlobFilter", "pages.parquet")
         .parquet(sf_dir)
     )

@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     DataType,
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -20,15 +21,16 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-STRING, DOUBLE, LONG = StringType(), DoubleType(), LongType()
+STRING, DOUBLE = StringType(), DoubleType()
+INT, LONG = IntegerType(), LongType()
 DATE, BOOLEAN, CLOCK = DateType(), BooleanType(), TimestampNTZType()
 
 
-def _schema(columns: dict[str, DataType]) -> StructType:
+def schema(columns: dict[str, DataType]) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-VIEWS = _schema(
+VIEWS = schema(
     {
         "longName": STRING,
         "shortName": STRING,
@@ -50,7 +52,7 @@ VIEWS = _schema(
 )
 
 FACTS: dict[str, StructType] = {
-    "daily": _schema(
+    "daily": schema(
         {
             "date": DATE,
             "sessions": DOUBLE,
@@ -59,7 +61,7 @@ FACTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
-    "monthly": _schema(
+    "monthly": schema(
         {
             "year": STRING,
             "month": STRING,
@@ -71,7 +73,7 @@ FACTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
-    "geo": _schema(
+    "geo": schema(
         {
             "region": STRING,
             "country": STRING,
@@ -81,7 +83,7 @@ FACTS: dict[str, StructType] = {
             "period": STRING,
         }
     ),
-    "device": _schema(
+    "device": schema(
         {
             "deviceCategory": STRING,
             "browser": STRING,
@@ -94,7 +96,7 @@ FACTS: dict[str, StructType] = {
             "period": STRING,
         }
     ),
-    "paths": _schema(
+    "paths": schema(
         {
             "landingPagePath": STRING,
             "secondPagePath": STRING,
@@ -104,7 +106,7 @@ FACTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
-    "load": _schema(
+    "load": schema(
         {
             "pagePath": STRING,
             "pageLoadSample": DOUBLE,
@@ -116,7 +118,7 @@ FACTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
-    "page_views": _schema(
+    "page_views": schema(
         {
             "pagePath": STRING,
             "date": DATE,
@@ -124,7 +126,7 @@ FACTS: dict[str, StructType] = {
             "pageViews": DOUBLE,
         }
     ),
-    "population": _schema(
+    "population": schema(
         {
             "REGION": STRING,
             "DIVISION": STRING,
@@ -133,7 +135,7 @@ FACTS: dict[str, StructType] = {
             "POPESTIMATE2019": LONG,
         }
     ),
-    "hits": _schema(
+    "hits": schema(
         {
             "hit_id": LONG,
             "view_id": STRING,
@@ -151,7 +153,7 @@ FACTS: dict[str, StructType] = {
 }
 
 OUTPUTS: dict[str, StructType] = {
-    "three_year_traffic": _schema(
+    "three_year_traffic": schema(
         {
             "date": DATE,
             "sessions": DOUBLE,
@@ -162,7 +164,7 @@ OUTPUTS: dict[str, StructType] = {
             "fiscal_year": DATE,
         }
     ),
-    "year_month_week": _schema(
+    "year_month_week": schema(
         {
             "view_name": STRING,
             "view_id": STRING,
@@ -171,7 +173,7 @@ OUTPUTS: dict[str, StructType] = {
             "period": STRING,
         }
     ),
-    "compared_to_last_year": _schema(
+    "compared_to_last_year": schema(
         {
             "view_name": STRING,
             "view_id": STRING,
@@ -185,7 +187,7 @@ OUTPUTS: dict[str, StructType] = {
             "period": STRING,
         }
     ),
-    "long_term_monthly": _schema(
+    "long_term_monthly": schema(
         {
             "year": STRING,
             "month": STRING,
@@ -200,7 +202,7 @@ OUTPUTS: dict[str, StructType] = {
             "backfill": BOOLEAN,
         }
     ),
-    "state_traffic": _schema(
+    "state_traffic": schema(
         {
             "region": STRING,
             "country": STRING,
@@ -210,7 +212,7 @@ OUTPUTS: dict[str, StructType] = {
             "period": STRING,
         }
     ),
-    "state_traffic_population_percentages": _schema(
+    "state_traffic_population_percentages": schema(
         {
             "view_name": STRING,
             "region": STRING,
@@ -227,7 +229,7 @@ OUTPUTS: dict[str, StructType] = {
             "country": STRING,
         }
     ),
-    "regionality": _schema(
+    "regionality": schema(
         {
             "view_name": STRING,
             "view_id": STRING,
@@ -235,7 +237,7 @@ OUTPUTS: dict[str, StructType] = {
             "region_metric_all": DOUBLE,
         }
     ),
-    "state_week_vs_year": _schema(
+    "state_week_vs_year": schema(
         {
             "view_id": STRING,
             "view_name": STRING,
@@ -248,7 +250,7 @@ OUTPUTS: dict[str, StructType] = {
             "week_percent_from_average": DOUBLE,
         }
     ),
-    "summary_numbers": _schema(
+    "summary_numbers": schema(
         {
             "deviceCategory": STRING,
             "browser": STRING,
@@ -262,7 +264,7 @@ OUTPUTS: dict[str, StructType] = {
             "newSessions": DOUBLE,
         }
     ),
-    "landing_exit_pages": _schema(
+    "landing_exit_pages": schema(
         {
             "landingPagePath": STRING,
             "secondPagePath": STRING,
@@ -272,7 +274,7 @@ OUTPUTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
-    "page_load": _schema(
+    "page_load": schema(
         {
             "pagePath": STRING,
             "pageLoadSample": DOUBLE,
@@ -284,7 +286,7 @@ OUTPUTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
-    "monitoring_location_pages": _schema(
+    "monitoring_location_pages": schema(
         {
             "date": DATE,
             "site_no": STRING,
@@ -294,8 +296,8 @@ OUTPUTS: dict[str, StructType] = {
 }
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` to ``schema`` in its column order.
+def conform(df: DataFrame, expected: StructType) -> DataFrame:
+    """Project ``df`` to the ``expected`` columns in their order.
 
     Raises if a column is missing or has another type: a published dataset
     must not change shape silently.
@@ -304,9 +306,9 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     wrong = [
         f"{f.name}: expected {f.dataType.simpleString()}, got "
         + (actual[f.name].simpleString() if f.name in actual else "no such column")
-        for f in schema.fields
+        for f in expected.fields
         if actual.get(f.name) != f.dataType
     ]
     if wrong:
         raise ValueError("schema mismatch: " + "; ".join(wrong))
-    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return df.select(*[F.col(f"`{f.name}`") for f in expected.fields])

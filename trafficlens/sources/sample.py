@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trafficlens.functions.numbers import ratio
+from trafficlens.schemas import CLOCK, DOUBLE, INT, LONG, STRING, schema
 from trafficlens.operators.periods import (
     Period,
     newest_day,
@@ -31,8 +32,37 @@ from trafficlens.sources.readers import geo_report
 PRICE_PER_SECOND = 997
 
 
+# The columns that stand for traffic; declared, so no read infers a schema.
+SCHEMAS = {
+    "orders": schema(
+        {
+            "o_orderkey": LONG,
+            "o_custkey": LONG,
+            "o_totalprice": DOUBLE,
+            "o_orderdate": CLOCK,
+            "o_orderpriority": STRING,
+        }
+    ),
+    "customer": schema({"c_custkey": LONG, "c_nationkey": INT, "c_mktsegment": STRING}),
+    "nation": schema({"n_nationkey": INT, "n_name": STRING, "n_regionkey": INT}),
+    "region": schema({"r_regionkey": INT, "r_name": STRING}),
+    "events": schema(
+        {
+            "event_id": LONG,
+            "ts": CLOCK,
+            "user_id": LONG,
+            "event_type": STRING,
+            "value": DOUBLE,
+            "props": STRING,
+        }
+    ),
+    "pages": schema({"page_id": LONG, "url": STRING}),
+    "documents": schema({"doc_id": LONG, "text": STRING}),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def latest_order_date(spark: SparkSession, sf_dir: str) -> dt.date:
