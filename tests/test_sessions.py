@@ -108,6 +108,17 @@ def test_longer_gap_gives_fewer_sessions(spark):
     assert counts == sorted(counts, reverse=True)
 
 
+def test_hits_shortly_before_a_day_decide_its_sessions(spark):
+    df = hits(spark, *random_hits(4))
+    cut = "2024-01-02"
+    columns = ("user_id", "start_ts", "landingPagePath", "secondPagePath", "exitPagePath")
+    since = F.col("start_ts") >= cut
+    found = pages.session_paths(sessions.hits_since(df, cut, GAP), GAP).filter(since)
+    expected = rows(pages.session_paths(df, GAP).filter(since), *columns)
+    assert rows(found, *columns) == expected
+    assert 0 < len(expected) < pages.session_paths(df, GAP).count()
+
+
 def test_midnight_does_not_split(spark):
     df = hits(spark, (1, 1, 3500, "a"), (2, 1, 3700, "a"))
     assert sessions.sessionize(df, GAP).count() == 1

@@ -59,8 +59,8 @@ def site_page_counts(
 
 
 def session_paths(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
-    """First, second and last page of every session; no second page for a
-    session of one hit.
+    """Start and first, second and last page of every session; no second page
+    for a session of one hit.
 
     The second page needs the two earliest hits of a slot.  ``row_number <= 2``
     keeps two rows per group already before the shuffle, and both branches end
@@ -87,11 +87,13 @@ def session_paths(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
     )
     numbered = number_sessions(slots.withColumn("second", second), gap)
     return numbered.groupBy(*USER, "session_no").agg(
+        F.min("start_ts").alias("start_ts"),
         F.min_by(F.struct("page_1", "second"), "slot").alias("opening"),
         F.max_by("last_hit.pagePath", "slot").alias("exitPagePath"),
     ).select(
         *USER,
         "session_no",
+        "start_ts",
         F.col("opening.page_1").alias("landingPagePath"),
         F.col("opening.second").alias("secondPagePath"),
         "exitPagePath",

@@ -14,6 +14,7 @@ Hits need a view, a user and a time; hits without one belong to no session.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from datetime import timedelta
 
@@ -22,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from trafficlens.functions.calendar import as_date
 from trafficlens.functions.numbers import ratio
 
 # Fixed value: the customary inactivity limit of web sessions.
@@ -49,6 +51,20 @@ def with_slot(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
     return hits.dropna("any", subset=[*USER, "ts"]).withColumn("slot", slot)
 
 
+def hits_since(
+    hits: DataFrame, start: Column | dt.date | str, gap: timedelta = DEFAULT_GAP
+) -> DataFrame:
+    """The hits that decide which sessions start on or after a day.
+
+    Whether a hit opens a session depends on the ``gap`` before it only.  So
+    after this filter, which reaches the scan, every session that starts from
+    ``start`` on is found exactly (drop the older starts); session numbers,
+    which count from a user's first hit, are not.
+    """
+    midnight = as_date(start).cast(hits.schema["ts"].dataType)
+    return hits.filter(F.col("ts") >= midnight - F.lit(gap))
+
+
 def hit_slots(
     hits: DataFrame,
     gap: timedelta = DEFAULT_GAP,

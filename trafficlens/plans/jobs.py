@@ -30,13 +30,27 @@ from trafficlens.operators.geo import (
     suppress_until,
     week_vs_year,
 )
-from trafficlens.operators.pages import landing_exit_pages, page_load
+from trafficlens.operators.pages import (
+    landing_exit_pages,
+    landing_second_exit,
+    page_load,
+    page_load_metrics,
+    session_paths,
+)
 from trafficlens.operators.periods import (
     compare_all_periods,
     newest_day,
+    standard_periods,
     totals_multi_period,
 )
-from trafficlens.operators.summary import summary_numbers
+from trafficlens.operators.sessions import (
+    DEFAULT_GAP,
+    daily_metrics,
+    hits_since,
+    monthly_metrics,
+    sessionize,
+)
+from trafficlens.operators.summary import device_report, summary_numbers
 from trafficlens.operators.views import (
     LaunchRule,
     MergeRule,
@@ -46,9 +60,11 @@ from trafficlens.operators.views import (
     drop_prelaunch,
     splice_two_views,
 )
-from trafficlens.schemas import OUTPUTS, conform
+from trafficlens.schemas import FACTS, OUTPUTS, conform
+from trafficlens.session import staged
 from trafficlens.sinks.daily import DATASET, run_daily
 from trafficlens.sinks.datasets import dataset_path, write_dataset
+from trafficlens.sources.readers import geo_report, read_fact, read_population
 
 # Fixed value: month to which monthly series are filled back.
 BACKFILL_START = dt.date(2009, 11, 1)
@@ -161,6 +177,45 @@ def state_week_vs_year(states: DataFrame, config: ReportConfig, today) -> DataFr
     return conform(compared, OUTPUTS["state_week_vs_year"])
 
 
+def facts_from_hits(
+    hits: DataFrame, run: RunDates, gap: dt.timedelta = DEFAULT_GAP
+) -> dict[str, DataFrame]:
+    """The reports that a tracking service would deliver, from raw hits.
+
+    Sessions are numbered over all hits, so a session is new only if it is its
+    user's first ever; they are stored once for the three reports built on
+    them.  Sessions belong to the day they start on.
+    """
+    found = staged(sessionize(hits, gap, first=("deviceCategory", "browser")), "sessions")
+    run_date = F.lit(run.run_date)
+    year_ago = F.coalesce(F.lit(run.one_year_ago), F.date_sub(run_date, 366))
+    start = F.to_date("start_ts")
+    paths = session_paths(hits_since(hits, year_ago, gap), gap).filter(
+        start.between(year_ago, run.yesterday)
+    )
+    recent = F.to_date("ts").between(run.thirty_days_ago, run.yesterday)
+    history = found.filter(start <= run.yesterday)
+    three_years_ago = run.three_years_ago or F.trunc(F.add_months(run_date, -36), "quarter")
+    return {
+        "daily": daily_metrics(history.filter(start >= three_years_ago)),
+        "monthly": monthly_metrics(history.filter(start <= run.end_of_last_month)),
+        "device": device_report(found, standard_periods(run.run_date)),
+        "paths": landing_second_exit(paths),
+        "load": page_load_metrics(hits.filter(recent), gap),
+    }
+
+
+def stored_facts(spark: SparkSession, root: str, run: RunDates) -> dict[str, DataFrame]:
+    """Inputs of :func:`publish_reports` from a folder of stored facts:
+    ``hits``, ``daily_geo`` (parquet) and ``population.csv``."""
+    daily_geo = spark.read.schema(FACTS["daily_geo"]).parquet(f"{root}/daily_geo")
+    return {
+        **facts_from_hits(read_fact(spark, f"{root}/hits", "hits"), run),
+        "geo": geo_report(daily_geo, standard_periods(run.run_date, fiscal=False)),
+        "population": read_population(spark, f"{root}/population.csv"),
+    }
+
+
 def publish_reports(
     spark: SparkSession,
     facts: Mapping[str, DataFrame],

@@ -73,6 +73,16 @@ FACTS: dict[str, StructType] = {
             "view_name": STRING,
         }
     ),
+    "daily_geo": schema(
+        {
+            "date": DATE,
+            "region": STRING,
+            "country": STRING,
+            "sessions": DOUBLE,
+            "view_id": STRING,
+            "view_name": STRING,
+        }
+    ),
     "geo": schema(
         {
             "region": STRING,
