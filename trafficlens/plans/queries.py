@@ -378,7 +378,8 @@ def daily_site_partitions(spark, sf_dir):
 def streaming_site_page_counts(spark, sf_dir):
     """Stream the page files through the counts and read the newest totals."""
     stream = (
-        spark.readStream.schema(sample.SCHEMAS["pages"])
+        site_counts.state_session(spark)
+        .readStream.schema(sample.SCHEMAS["pages"])
         .option("pathGlobFilter", "pages.parquet")
         .parquet(sf_dir)
     )

@@ -49,6 +49,19 @@ def streaming_site_page_counts(
     )
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session for the stream, sharing the application but not its settings.
+
+    One state partition per core, since every batch opens all of them, and no
+    batches without data, which in ``update`` mode would only clear old state.
+    """
+    session = spark.newSession()
+    cores = spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(cores))
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    return session
+
+
 def start_counts(counts: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
     """Process all available input and log the changed totals of each batch."""
 
