@@ -100,6 +100,18 @@ def test_gap_at_the_threshold_opens_a_session(spark):
     assert rows(sessions.sessionize(df, GAP), "session_no", "hits") == [(1, 1), (2, 2)]
 
 
+def test_sessions_equal_built_in_session_windows(spark):
+    df = hits(spark, *random_hits(6))
+    # The built-in window keeps a hit exactly one gap later in the session; with
+    # times in whole seconds, a second less gives the same sessions.
+    window = F.session_window("ts", "1799 seconds")
+    built_in = df.groupBy("user_id", window.alias("w")).agg(
+        F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count("*").alias("hits")
+    )
+    columns = ("user_id", "start_ts", "end_ts", "hits")
+    assert rows(sessions.sessionize(df, GAP), *columns) == rows(built_in, *columns)
+
+
 def test_longer_gap_gives_fewer_sessions(spark):
     df = hits(spark, *random_hits(7))
     counts = [
