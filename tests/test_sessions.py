@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from trafficlens.operators import pages, sessions
+from trafficlens.sources.readers import read_fact
 
 GAP = dt.timedelta(minutes=30)
 START = dt.datetime(2024, 1, 1, 23, 0)
@@ -131,6 +132,26 @@ def test_hits_shortly_before_a_day_decide_its_sessions(spark):
     assert 0 < len(expected) < pages.session_paths(df, GAP).count()
 
 
+def test_hits_stored_by_day_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "hits")
+    df = hits(spark, *random_hits(4)).withColumn("date", F.to_date("ts"))
+    df.write.partitionBy("date").parquet(path)
+    stored = read_fact(spark, path, "hits")
+    recent = sessions.hits_since(stored, "2024-01-03", GAP)
+    assert recent.filter("date < date'2024-01-02'").count() == 0
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "(date" in plan and ">= 2024-01-02)" in plan.split("PartitionFilters")[1]
+    assert "GreaterThanOrEqual(ts,2024-01-02T23:30" in plan
+    columns = ("user_id", "session_no", "hits")
+    assert rows(sessions.sessionize(stored, GAP), *columns) == rows(
+        sessions.sessionize(df, GAP), *columns
+    )
+    counts = pages.page_view_counts(stored, GAP)
+    assert rows(counts, *sorted(counts.columns)) == rows(
+        pages.page_view_counts(df.drop("date"), GAP), *sorted(counts.columns)
+    )
+
+
 def test_midnight_does_not_split(spark):
     df = hits(spark, (1, 1, 3500, "a"), (2, 1, 3700, "a"))
     assert sessions.sessionize(df, GAP).count() == 1

@@ -14,9 +14,8 @@ Hits need a view, a user and a time; hits without one belong to no session.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -52,7 +51,7 @@ def with_slot(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
 
 
 def hits_since(
-    hits: DataFrame, start: Column | dt.date | str, gap: timedelta = DEFAULT_GAP
+    hits: DataFrame, start: Column | date | str, gap: timedelta = DEFAULT_GAP
 ) -> DataFrame:
     """The hits that decide which sessions start on or after a day.
 
@@ -61,8 +60,12 @@ def hits_since(
     ``start`` on is found exactly (drop the older starts); session numbers,
     which count from a user's first hit, are not.
     """
-    midnight = as_date(start).cast(hits.schema["ts"].dataType)
-    return hits.filter(F.col("ts") >= midnight - F.lit(gap))
+    since = as_date(start).cast(hits.schema["ts"].dataType) - F.lit(gap)
+    recent = hits.filter(F.col("ts") >= since)
+    # A store partitioned by the day of ``ts`` is pruned as well.
+    if "date" in hits.columns:
+        recent = recent.filter(F.col("date") >= F.to_date(since))
+    return recent
 
 
 def hit_slots(

@@ -193,7 +193,9 @@ def facts_from_hits(
     paths = session_paths(hits_since(hits, year_ago, gap), gap).filter(
         start.between(year_ago, run.yesterday)
     )
-    recent = F.to_date("ts").between(run.thirty_days_ago, run.yesterday)
+    recent = hits_since(hits, run.thirty_days_ago, dt.timedelta(0)).filter(
+        F.to_date("ts") <= run.yesterday
+    )
     history = found.filter(start <= run.yesterday)
     three_years_ago = run.three_years_ago or F.trunc(F.add_months(run_date, -36), "quarter")
     return {
@@ -201,7 +203,7 @@ def facts_from_hits(
         "monthly": monthly_metrics(history.filter(start <= run.end_of_last_month)),
         "device": device_report(found, standard_periods(run.run_date)),
         "paths": landing_second_exit(paths),
-        "load": page_load_metrics(hits.filter(recent), gap),
+        "load": page_load_metrics(recent, gap),
     }
 
 
