@@ -5,20 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trafficlens.llm import simhash
+from trafficlens.llm import simhash, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents that repeat a 50-byte string of a smaller document."""
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: three-word shingles, two bits."""
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op9_simhash": op9_simhash,
 }
 
