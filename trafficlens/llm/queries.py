@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import simhash, suffix_dedup
+from trafficlens.llm import packing, simhash, suffix_dedup
+
+
+def _vocabulary() -> str:
+    """The byte-level vocabulary file, a path that every executor has."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +29,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: three-word shingles, two bits."""
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
@@ -29,6 +41,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_simhash": op9_simhash,
 }
 
