@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import packing, simhash, suffix_dedup
+from trafficlens.llm import language, packing, simhash, suffix_dedup
 
 
 def _vocabulary() -> str:
@@ -39,10 +39,21 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned on three of four folds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = language.held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs, ~fold)
+    return language.identify(docs, model).select(
+        "doc_id", fold.alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_simhash": op9_simhash,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
