@@ -48,7 +48,7 @@ CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 SAMPLE_CHUNKS = 64
 SAMPLE_HEADS = 256
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _REACH = WINDOW - GRAM
 _SPAN = _REACH + WINDOW
@@ -213,16 +213,24 @@ def _offer(buckets: int):
 
 def _repeated(table: pa.Table) -> pa.Table:
     """The fingerprints of each chunk that are in several documents."""
-    once = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("once")]
-    often = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("often")]
-    values, counts = np.unique(
-        np.concatenate([np.unique(x) for x in once] + [np.unique(x) for x in often]),
-        return_counts=True,
+    once, often = (
+        [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column(name)]
+        for name in ("once", "often")
     )
-    repeated = np.union1d(values[counts > 1], np.concatenate(often))
+    parts = [values for pair in zip(once, often) for values in pair]
+    sizes = [len(values) for values in parts]
+    values = np.concatenate(parts)
+    surely = np.repeat(np.arange(len(parts)) % 2 == 1, sizes)
+    order = np.argsort(values, kind="stable")
+    first = np.flatnonzero(np.diff(values[order].astype(np.int64), prepend=-1))
+    many = np.diff(np.append(first, len(values))) > 1
+    many |= np.logical_or.reduceat(surely[order], first)
+    repeated = np.empty(len(values), bool)
+    repeated[order] = np.repeat(many, np.diff(np.append(first, len(values))))
+    ends = np.cumsum([0, *sizes])[::2]
     chunks, blobs = [], []
-    for chunk, one, more in zip(table.column("chunk").to_pylist(), once, often):
-        both = np.concatenate([one[np.isin(one, repeated)], more])
+    for chunk, start, stop in zip(table.column("chunk").to_pylist(), ends, ends[1:]):
+        both = values[start:stop][repeated[start:stop]]
         if len(both):
             chunks.append(chunk)
             blobs.append(both.tobytes())
