@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import language, packing, simhash, suffix_dedup
+from trafficlens.llm import decontaminate, language, packing, simhash, suffix_dedup
 
 
 def _vocabulary() -> str:
@@ -34,6 +34,13 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold a benchmark item, also reworded."""
+    return decontaminate.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: three-word shingles, two bits."""
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
@@ -52,6 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
 }
