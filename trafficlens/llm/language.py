@@ -261,7 +261,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def _label(model: Model, switch: float):
+def _label(model: Model, switch: float, keep: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = script_table()
         kinds = len(model.languages)
@@ -302,7 +302,7 @@ def _label(model: Model, switch: float):
                 spans += runs
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *[batch.column(name) for name in ("doc_id", *keep)],
                     pa.array(langs, pa.string()),
                     pa.array(shares, pa.float64()),
                     pa.array(
@@ -318,17 +318,23 @@ def _label(model: Model, switch: float):
                         ),
                     ),
                 ],
-                ["doc_id", "lang_pred", "score", "spans"],
+                ["doc_id", *keep, "lang_pred", "score", "spans"],
             )
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """Per row ``doc_id``, ``lang_pred``, ``score`` and the labelled ``spans`` of words."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _label(model, switch),
-        "doc_id long, lang_pred string, score double, "
+def identify(
+    docs: DataFrame, model: Model, switch: float = SWITCH, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per row ``doc_id``, the columns ``keep``, ``lang_pred``, ``score`` and the
+    labelled ``spans`` of words."""
+    held = ["text", *[c for c in keep if c != "text"]]
+    rows = docs.select(F.col("doc_id").cast("long"), *held)
+    kept = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in keep)
+    return rows.mapInArrow(
+        _label(model, switch, keep),
+        f"doc_id long, {kept}lang_pred string, score double, "
         "spans array<struct<lang: string, first_word: bigint, words: bigint>>",
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trafficlens.llm import decontaminate, language, packing, simhash, suffix_dedup
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
     """The byte-level vocabulary file, a path that every executor has."""
     import public_tokenizers
 
@@ -31,7 +31,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
-    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary())
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
