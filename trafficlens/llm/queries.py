@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import decontaminate, language, packing, simhash, suffix_dedup
+from trafficlens.llm import decontaminate, language, packing, quality, simhash, suffix_dedup
 
 
 def vocabulary() -> str:
@@ -21,6 +21,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned on two of three folds."""
+    fold = language.held_out(F.col("doc_id"), 3, 1)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = quality.score(_table(spark, sf_dir, "documents"), labels, ~fold)
+    return scored.select(
+        "doc_id",
+        fold.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of documents that repeat a 50-byte string of a smaller document."""
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,6 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_decontamination": op8_decontamination,
