@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,15 @@ def components(edges: DataFrame) -> DataFrame:
             )
         before = after
     raise RuntimeError("components did not settle")
+
+
+def group_roots(near: np.ndarray) -> np.ndarray:
+    """For each node of a small symmetric adjacency matrix its group's first node."""
+    n = len(near)
+    label = np.arange(n)
+    while True:
+        best = np.minimum(label, np.where(near, label[None, :], n).min(axis=1, initial=n))
+        best = best[best]
+        if (best == label).all():
+            return label
+        label = best

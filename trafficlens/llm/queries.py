@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import decontaminate, language, packing, quality, simhash, suffix_dedup
+from trafficlens.llm import decontaminate, embeddings, language, packing, quality, simhash, suffix_dedup
 
 
 def vocabulary() -> str:
@@ -34,6 +34,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all vectors at a cosine of 0.9."""
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of documents that repeat a 50-byte string of a smaller document."""
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,6 +76,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_decontamination": op8_decontamination,

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlens.llm.arrow import utf8, word_blocks
-from trafficlens.llm.components import components
+from trafficlens.llm.components import components, group_roots
 from trafficlens.session import staged
 
 BITS = 64
@@ -151,14 +151,7 @@ def linked(values: np.ndarray, chain: list[tuple[int, int]], distance: int) -> n
             rows, cols, left = rows[keep], cols[keep], left[keep]
         near[at + rows, cols] = True
     near |= near.T
-    label = np.arange(n)
-    while True:
-        best = np.where(near, label[None, :], n).min(axis=1)
-        best = np.minimum(label, best)
-        best = best[best]
-        if (best == label).all():
-            return label
-        label = best
+    return group_roots(near)
 
 
 def _forest(segments: int, distance: int):
