@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import decontaminate, embeddings, language, packing, quality, simhash, suffix_dedup
+from trafficlens.llm import decontaminate, embeddings, language, packing, quality, simhash, suffix_dedup, url_filter
 
 
 def vocabulary() -> str:
@@ -21,6 +21,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Host, path and verdict.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url judged by the rules, or by the path templates they teach."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learned on two of three folds."""
     fold = language.held_out(F.col("doc_id"), 3, 1)
@@ -75,6 +90,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op3_quality": op3_quality,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
