@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import decontaminate, embeddings, language, packing, quality, simhash, suffix_dedup, url_filter
+from trafficlens.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    packing,
+    preferences,
+    quality,
+    revisits,
+    samples,
+    simhash,
+    suffix_dedup,
+    url_filter,
+)
 
 
 def vocabulary() -> str:
@@ -36,6 +48,22 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the archive made of all pages, resolved."""
+    records = samples.archive_records(_table(spark, sf_dir, "pages"))
+    lines = F.transform(
+        F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])
+    )
+    return revisits.resolve(records).select(
+        "record_id",
+        "canonical_url",
+        "source_id",
+        "outcome",
+        F.array_join(lines, "\n").alias("headers"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+    )
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learned on two of three folds."""
     fold = language.held_out(F.col("doc_id"), 3, 1)
@@ -62,6 +90,26 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of conversations as a prompt and two masked completions."""
+    messages = samples.preference_messages(_table(spark, sf_dir, "conversations"))
+
+    def spans(name: str):
+        return F.array_join(
+            F.transform(name, lambda s: F.concat_ws("-", s["start"], s["end"])), ","
+        ).alias(name)
+
+    return preferences.format_pairs(messages).select(
+        "pair_id",
+        "prompt",
+        "chosen",
+        "rejected",
+        "prompt_messages",
+        spans("chosen_train"),
+        spans("rejected_train"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
@@ -91,13 +139,137 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_warc_revisits": op2_warc_revisits,
     "op3_quality": op3_quality,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_preference_format": op6_preference_format,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc_revisits": r"""
+WITH page AS (
+    SELECT page_id AS n, html,
+        split_part(url, '#', 1) AS whole,
+        '"' || md5(html) || '"' AS tag,
+        'day ' || (page_id % 28) AS changed
+    FROM pages WHERE page_id IS NOT NULL
+), parts AS (
+    SELECT *,
+        lower(regexp_extract(whole, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+        regexp_replace(whole, '^([A-Za-z][A-Za-z0-9+.-]*)://', '') AS rest
+    FROM page
+), hosts AS (
+    SELECT *,
+        lower(regexp_extract(rest, '^([^/?]*)', 1)) AS host,
+        regexp_replace(rest, '^[^/?]*', '') AS tail
+    FROM parts
+), named AS (
+    SELECT *, CASE WHEN scheme = '' THEN whole ELSE scheme || '://'
+        || CASE scheme WHEN 'http' THEN regexp_replace(host, ':80$', '')
+            WHEN 'https' THEN regexp_replace(host, ':443$', '') ELSE host END
+        || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END END AS canonical
+    FROM hosts
+), response AS (
+    SELECT n * 2 AS source_id, canonical, n * 60 AS ts, tag AS kept_tag,
+        CASE WHEN n % 3 = 0 THEN 'W/' || tag ELSE tag END AS kept_etag,
+        changed AS kept_changed, html
+    FROM named
+), revisit AS (
+    SELECT n * 2 + 1 AS record_id, canonical, n,
+        CASE WHEN n % 11 = 0 THEN n * 60 - 1 ELSE n * 60 + 86400 * (1 + n % 5) END AS ts,
+        CASE WHEN n % 7 = 0 THEN NULL WHEN n % 4 = 0 THEN tag WHEN n % 4 = 1 THEN 'W/' || tag
+            WHEN n % 4 = 3 THEN '"other"' END AS etag,
+        CASE WHEN n % 7 <> 0 AND n % 4 = 2 THEN changed END AS modified
+    FROM named
+), best AS (
+    SELECT v.record_id, max(struct_pack(ts := r.ts, source_id := r.source_id)) AS hit
+    FROM revisit v JOIN response r ON r.canonical = v.canonical
+        AND (r.ts < v.ts OR (r.ts = v.ts AND r.source_id < v.record_id))
+    GROUP BY 1
+), judged AS (
+    SELECT v.*, r.source_id, r.kept_etag, r.kept_changed, r.html,
+        CASE WHEN r.source_id IS NULL THEN 'no_response'
+            WHEN v.etag IS NOT NULL THEN CASE
+                WHEN regexp_replace(v.etag, '^W/', '') = r.kept_tag THEN 'resolved'
+                ELSE 'mismatch' END
+            WHEN v.modified IS NOT NULL THEN CASE
+                WHEN v.modified = r.kept_changed THEN 'resolved' ELSE 'mismatch' END
+            ELSE 'unverified' END AS outcome
+    FROM revisit v LEFT JOIN best b USING (record_id)
+        LEFT JOIN response r ON r.source_id = b.hit.source_id
+)
+SELECT record_id, canonical AS canonical_url, source_id, outcome,
+    CASE WHEN outcome IN ('resolved', 'unverified') THEN
+        'cache-control: no-cache' || chr(10) || 'content-type: text/html' || chr(10)
+        || 'date: ' || (n * 60) || chr(10) || 'etag: ' || coalesce(etag, kept_etag) || chr(10)
+        || 'last-modified: ' || coalesce(modified, kept_changed)
+    ELSE
+        'cache-control: no-cache' || chr(10) || 'content-type: text/plain' || chr(10)
+        || 'date: ' || (n * 60) || coalesce(chr(10) || 'etag: ' || etag, '')
+        || coalesce(chr(10) || 'last-modified: ' || modified, '')
+    END AS headers,
+    CASE WHEN outcome IN ('resolved', 'unverified') THEN sha256(html) END AS payload_sha256
+FROM judged
+""",
+    "op6_preference_format": r"""
+WITH ends AS (
+    SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last, max(turn) AS top
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1
+), told AS (
+    SELECT c.*, e.last, e.top, c.conv_id // 2 AS pair_id
+    FROM conversations c JOIN ends e USING (conv_id)
+), messages AS (
+    SELECT pair_id, 'chosen' AS side, turn, role, text FROM told WHERE conv_id % 2 = 0
+    UNION ALL
+    SELECT pair_id, 'rejected', turn, role, text FROM told
+    WHERE conv_id % 2 = 0 AND (last IS NULL OR turn < last)
+    UNION ALL
+    SELECT o.pair_id, 'rejected', coalesce(e.last, e.top + 1), o.role, o.text
+    FROM told o JOIN ends e ON e.conv_id = o.conv_id - 1
+    WHERE o.conv_id % 2 = 1 AND o.role = 'assistant' AND o.turn = o.last
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS place,
+        count(*) OVER (PARTITION BY pair_id, side) AS size
+    FROM messages
+), compared AS (
+    SELECT pair_id, coalesce(a.turn, b.turn) AS turn,
+        a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text
+            AND a.turn IS NOT DISTINCT FROM b.turn AS same,
+        least(a.turn, b.turn) AS lower_turn
+    FROM (SELECT * FROM numbered WHERE side = 'chosen') a
+    FULL JOIN (SELECT * FROM numbered WHERE side = 'rejected') b USING (pair_id, place)
+), splits AS (
+    SELECT pair_id, min(lower_turn) FILTER (NOT same) AS split FROM compared GROUP BY 1
+), sides AS (
+    SELECT pair_id, count(*) FILTER (side = 'chosen') AS nc, count(*) FILTER (side = 'rejected') AS nr
+    FROM messages GROUP BY 1
+), parted AS (
+    SELECT n.*, CASE WHEN nc > 0 AND nr > 0 AND (split IS NULL OR turn < split)
+            THEN 'prompt' ELSE side END AS part,
+        '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece
+    FROM numbered n JOIN splits USING (pair_id) JOIN sides USING (pair_id)
+), kept AS (
+    SELECT *, sum(length(piece)) OVER (PARTITION BY pair_id, part ORDER BY turn, role, text
+        ROWS UNBOUNDED PRECEDING) AS stop
+    FROM parted WHERE part <> 'prompt' OR side = 'chosen'
+), spans AS (
+    SELECT *, CASE WHEN role = 'assistant' THEN
+        (stop - length(piece) + 14)::BIGINT || '-' || (stop - 1)::BIGINT END AS span FROM kept
+)
+SELECT pair_id,
+    coalesce(string_agg(piece, '' ORDER BY stop) FILTER (part = 'prompt'), '') AS prompt,
+    CASE WHEN any_value(nc) > 0 THEN
+        coalesce(string_agg(piece, '' ORDER BY stop) FILTER (part = 'chosen'), '') END AS chosen,
+    CASE WHEN any_value(nr) > 0 THEN
+        coalesce(string_agg(piece, '' ORDER BY stop) FILTER (part = 'rejected'), '') END AS rejected,
+    count(*) FILTER (part = 'prompt') AS prompt_messages,
+    coalesce(string_agg(span, ',' ORDER BY stop) FILTER (part = 'chosen'), '') AS chosen_train,
+    coalesce(string_agg(span, ',' ORDER BY stop) FILTER (part = 'rejected'), '') AS rejected_train
+FROM spans JOIN sides USING (pair_id) GROUP BY pair_id
+""",
+}
