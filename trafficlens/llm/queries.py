@@ -215,6 +215,24 @@ SELECT record_id, canonical AS canonical_url, source_id, outcome,
     END AS headers,
     CASE WHEN outcome IN ('resolved', 'unverified') THEN sha256(html) END AS payload_sha256
 FROM judged
+""",
+    "op4_embedding_dedup": r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+        AND list_dot_product(a.e, b.e)
+            >= 0.9 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))
+), reach AS (
+    SELECT vec_id AS node, vec_id AS seen FROM v
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+)
+SELECT v.vec_id,
+    (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links,
+    min(seen) AS component_id,
+    min(seen) = v.vec_id AS kept
+FROM v JOIN reach ON node = vec_id GROUP BY v.vec_id
 """,
     "op6_preference_format": r"""
 WITH ends AS (
