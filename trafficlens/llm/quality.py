@@ -61,9 +61,8 @@ def statistics(text: Column) -> dict[str, Column]:
         "word_length": (size - n_words) / some_words,
         "longest_word": F.coalesce(F.array_max(lengths), F.lit(0)).cast("double"),
         "line_length": F.log1p(size / some_lines),
-        "repeated_words": 1 - F.size(F.array_distinct(words)) / some_words,
-        "repeated_lines": F.when(n_lines > 0, 1 - F.size(F.array_distinct(lines)) / some_lines)
-        .otherwise(0.0),
+        "repeated_words": (n_words - F.size(F.array_distinct(words))) / some_words,
+        "repeated_lines": (n_lines - F.size(F.array_distinct(lines))) / some_lines,
         "symbols": _share(text, SYMBOLS, size),
         "marks": _share(text, MARKS, size),
         "cries": _share(text, "!", size),
