@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trafficlens.llm import suffix_dedup
+
+
+def plain(rows):
+    """By comparing all 50-byte strings of all documents."""
+    first: dict[bytes, int] = {}
+    texts = [(i, (text or "").encode()) for i, text in rows]
+    for i, data in texts:
+        for p in range(len(data) - 49):
+            key = data[p : p + 50]
+            first[key] = min(first.get(key, i), i)
+    found = []
+    for i, data in texts:
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - 49):
+            if first[data[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        runs = int(np.sum(gone & ~np.append(False, gone[:-1]))) if len(data) else 0
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        found.append((i, len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(found)
+
+
+def ours(docs):
+    return sorted(
+        tuple(r)
+        for r in suffix_dedup.remove_repeats(docs)
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+        .collect()
+    )
+
+
+def test_documents_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert ours(docs) == plain(rows)
+
+
+@pytest.mark.parametrize("chunk, bucket", [(4 << 20, 4 << 20), (2000, 500)])
+def test_edges(spark, monkeypatch, chunk, bucket):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket)
+    rows = [
+        (1, "a" * 300),
+        (2, "a" * 120 + "b" * 70),
+        (2, "b" * 60),
+        (3, None),
+        (4, ""),
+        (5, "b" * 49),
+        (6, "b" * 55 + "é" * 40),
+        (7, "é" * 40 + "b" * 55),
+        (8, "x" * 500),
+        (9, "x" * 51),
+        (10, "ab" * 40 + "q" + "ab" * 40),
+        (11, "\0" * 70),
+        (12, "\0" * 70 + "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert ours(docs.withColumn("kept", F.lit(1)).withColumn("chunk", F.lit(2))) == plain(rows)
+
+
+def test_random_texts_of_few_letters(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 2000)
+    rng = np.random.default_rng(3)
+    pieces = ["".join(rng.choice(list("abcd"), 90)) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        parts = [p[rng.integers(0, 30) : rng.integers(40, 90)] for p in rng.choice(pieces, 3)]
+        rows.append((i, "".join(rng.choice(list("wxyz"), 20)) + "|".join(parts)))
+    assert ours(spark.createDataFrame(rows, "doc_id long, text string")) == plain(rows)
+
+
+def test_null_id_counts_as_the_largest(spark):
+    text = "".join(chr(97 + i * 7 % 26) for i in range(80))
+    docs = spark.createDataFrame([(None, text), (9, text)], "doc_id long, text string")
+    found = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert found == {None: 80, 9: 0}
+
+
+def test_empty_table(spark):
+    assert ours(spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+def test_order_and_prefixes():
+    rng = np.random.default_rng(0)
+    text = rng.integers(97, 99, (400, 50)).astype(np.uint8)
+    text[100:200] = text[:100]
+    order = suffix_dedup.multikey_order(text)
+    strings = [text[i].tobytes() for i in order]
+    assert strings == sorted(strings)
+    prefixes = suffix_dedup.common_prefixes(text[order])
+    for before, after, n in zip(strings, strings[1:], prefixes[1:]):
+        assert suffix_dedup.boundary_prefix(before, after) == n
+
+
+def test_neighbours_across_a_boundary_share_no_window():
+    """Splitters are strings of GRAM bytes: what they part differs within those."""
+    heads = np.sort(np.array([b"aaab" * 5, b"aaac" * 5, b"b" * 20], f"S{suffix_dedup.GRAM}"))
+    splitters = heads[1:]
+    bucket = np.searchsorted(splitters, heads, "right")
+    for a, b, x, y in zip(heads, heads[1:], bucket, bucket[1:]):
+        assert x != y and suffix_dedup.boundary_prefix(a, b) < suffix_dedup.GRAM
+
+
+def test_equal_windows_have_their_anchor_at_the_same_place():
+    rng = np.random.default_rng(5)
+    shared = rng.integers(97, 123, 120).astype(np.uint8)
+    a = np.concatenate([rng.integers(97, 123, 77).astype(np.uint8), shared])
+    b = np.concatenate([shared, rng.integers(97, 123, 31).astype(np.uint8)])
+    places = []
+    for data, shift in ((a, 77), (b, 0)):
+        found = suffix_dedup.anchors(data, np.array([0, len(data)]))
+        at = found["at"] - shift
+        inside = (at - found["least"] >= 0) & (at - found["most"] + 50 <= 120)
+        places.append(set(at[inside].tolist()))
+    assert places[0] == places[1] and places[0]
