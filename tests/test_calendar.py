@@ -88,7 +88,7 @@ def test_fiscal_year_follows_yesterday(spark, clock, fiscal_year, days):
     assert (run.current_fiscal_year, run.days_into_fiscal_year) == (fiscal_year, days)
 
 
-def test_run_on_leap_day_has_no_year_ago(spark):
+def test_run_on_leap_day_starts_its_windows_on_28_february(spark):
     run = cal.resolve_run_dates(spark, dt.datetime(2024, 2, 29, 16))
-    assert run.one_year_ago is None
-    assert run.three_years_ago is None
+    assert run.one_year_ago == day("2023-02-28")
+    assert run.three_years_ago == day("2021-01-01")

@@ -7,13 +7,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from trafficlens.plans.oracle import ORACLE_SQL as ORACLES
+from trafficlens.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +40,27 @@ def canonical(columns, records):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+
+
+@pytest.mark.parametrize("name", ["state_traffic_share", "regionality", "job_state_traffic"])
+def test_state_reports_have_all_periods(spark, sf_dir, name):
+    found = QUERIES[name](spark, sf_dir).select("period").distinct().collect()
+    assert {"365 days", "30 days", "7 days"} <= {r["period"] for r in found}
+
+
+def test_a_run_on_a_leap_day_has_all_periods(spark, sf_dir):
+    found = QUERIES["geo_report_leap_day"](spark, sf_dir).select("period").distinct().collect()
+    assert {r["period"] for r in found} == {"365 days", "30 days", "7 days"}
+
+
+def test_stream_reads_a_table_stored_as_a_folder(spark, sf_dir, tmp_path):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    name = "streaming_site_page_counts"
+    assert sorted(QUERIES[name](spark, str(tmp_path)).collect()) == sorted(
+        QUERIES[name](spark, sf_dir).collect()
+    )
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -40,18 +40,6 @@ def test_tag_union_views(spark):
     ]
 
 
-def test_small_side_is_broadcast_only_up_to_its_limit(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    df = spark.range(10)
-    assert hinted(views.small_side(df, 10))
-    assert not hinted(views.small_side(df, 9))
-
-
-# ---------------------------------------------------------------- merging
-
-
 def test_merged_daily_has_no_users(spark):
     df = daily(
         spark,

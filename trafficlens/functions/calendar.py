@@ -84,14 +84,24 @@ def add_calendar_years(
     return df.withColumns(columns)
 
 
+def years_back(day: Column, years: int) -> Column:
+    """The same day ``years`` earlier; for 29 February, 28 February.
+
+    The one rule for the start of report windows, so that a run on a leap day
+    has all its periods.  Comparisons of days (:func:`shift_years`) have no such
+    fallback.
+    """
+    return F.coalesce(shift_years(day, -years), F.add_months(day, -12 * years))
+
+
 def run_date_columns(run_date: Column) -> dict[str, Column]:
     """Every date a report run needs, as expressions over its run date."""
     yesterday = F.date_sub(run_date, 1)
     fy_start = fiscal_year_start(yesterday)
     return {
         "run_date": run_date,
-        "three_years_ago": F.trunc(shift_years(run_date, -3), "quarter"),
-        "one_year_ago": shift_years(run_date, -1),
+        "three_years_ago": F.trunc(years_back(run_date, 3), "quarter"),
+        "one_year_ago": years_back(run_date, 1),
         "end_of_last_month": F.date_sub(F.trunc(run_date, "month"), 1),
         "thirty_days_ago": F.date_sub(run_date, 30),
         "seven_days_ago": F.date_sub(run_date, 7),
@@ -114,8 +124,8 @@ class RunDates:
     """Run dates as driver-side values, so that scans get literal bounds."""
 
     run_date: dt.date
-    three_years_ago: dt.date | None
-    one_year_ago: dt.date | None
+    three_years_ago: dt.date
+    one_year_ago: dt.date
     end_of_last_month: dt.date
     thirty_days_ago: dt.date
     seven_days_ago: dt.date

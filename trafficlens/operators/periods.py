@@ -14,6 +14,7 @@ from trafficlens.functions.calendar import (
     fiscal_year_start,
     is_leap_day,
     shift_years,
+    years_back,
 )
 from trafficlens.functions.numbers import percent_change
 
@@ -121,12 +122,12 @@ def standard_periods(run_date: DateLike, fiscal: bool = True) -> list[Period]:
     """The report windows ending the day before ``run_date``.
 
     Week and month have exactly 7 and 30 days; the year starts on the same
-    calendar day last year.  These differ from :func:`totals_multi_period`.
+    calendar day last year, 28 February for a run on 29 February.  These differ from :func:`totals_multi_period`.
     """
     today = as_date(run_date)
     yesterday = F.date_sub(today, 1)
     periods = [
-        Period(YEAR_LABEL, shift_years(today, -1), yesterday),
+        Period(YEAR_LABEL, years_back(today, 1), yesterday),
         Period(MONTH_LABEL, F.date_sub(today, 30), yesterday),
         Period(WEEK_LABEL, F.date_sub(today, 7), yesterday),
     ]

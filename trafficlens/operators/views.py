@@ -15,18 +15,13 @@ from trafficlens.functions.numbers import ratio, strict_sum
 
 VIEW_KEYS = ("view_name", "view_id")
 
-# A dimension up to this many rows of two short strings (a few MB) is sent to
-# every executor; a larger one is joined by shuffle.
-BROADCAST_ROWS = 50_000
+def tag_views(facts: DataFrame, views: DataFrame) -> DataFrame:
+    """Facts of the listed views with the names listed for their ids.
 
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave it be.
-
-    The count stops after ``max_rows + 1`` rows.  A larger side stays a shuffle
-    join, where adaptive execution splits skewed keys.
+    How the dimension is joined is left to the planner, which sees its bytes.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    listed = views.select("view_id", "view_name").distinct()
+    return facts.drop("view_name").join(listed, "view_id")
 
 
 def tag_union_views(
@@ -42,11 +37,8 @@ def tag_union_views(
     listed under two names yields its facts under both, and a listed view
     without facts yields nothing.
     """
-    listed = views.select("view_id", "view_name").distinct()
-    in_range = facts.drop("view_name").filter(
-        F.col(date_col).between(as_date(start), as_date(end))
-    )
-    return in_range.join(small_side(listed), "view_id")
+    in_range = facts.filter(F.col(date_col).between(as_date(start), as_date(end)))
+    return tag_views(in_range, views)
 
 
 # --------------------------------------------------------------------------
@@ -307,4 +299,4 @@ def drop_first_period(df: DataFrame) -> DataFrame:
 def filter_app_set(df: DataFrame, app_sets: DataFrame, set_name: str) -> DataFrame:
     """Rows of the views that belong to a named set of applications."""
     members = app_sets.filter(F.col("set_name") == set_name).select("view_name")
-    return df.join(small_side(members.distinct()), "view_name", "left_semi")
+    return df.join(members, "view_name", "left_semi")

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping
+import uuid
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,12 +60,19 @@ from trafficlens.operators.views import (
     drop_first_period,
     drop_prelaunch,
     splice_two_views,
+    tag_views,
 )
 from trafficlens.schemas import FACTS, OUTPUTS, conform
-from trafficlens.session import staged
+from trafficlens.session import delete_folder, staged
 from trafficlens.sinks.daily import DATASET, run_daily
-from trafficlens.sinks.datasets import dataset_path, write_dataset
-from trafficlens.sources.readers import geo_report, read_fact, read_population
+from trafficlens.sinks.datasets import dataset_path, replace_datasets, write_dataset
+from trafficlens.sources.readers import (
+    daily_report,
+    geo_report,
+    monthly_report,
+    read_fact,
+    read_population,
+)
 
 # Fixed value: month to which monthly series are filled back.
 BACKFILL_START = dt.date(2009, 11, 1)
@@ -187,8 +195,7 @@ def facts_from_hits(
     them.  Sessions belong to the day they start on.
     """
     found = staged(sessionize(hits, gap, first=("deviceCategory", "browser")), "sessions")
-    run_date = F.lit(run.run_date)
-    year_ago = F.coalesce(F.lit(run.one_year_ago), F.date_sub(run_date, 366))
+    year_ago = F.lit(run.one_year_ago)
     start = F.to_date("start_ts")
     paths = session_paths(hits_since(hits, year_ago, gap), gap).filter(
         start.between(year_ago, run.yesterday)
@@ -197,9 +204,8 @@ def facts_from_hits(
         F.to_date("ts") <= run.yesterday
     )
     history = found.filter(start <= run.yesterday)
-    three_years_ago = run.three_years_ago or F.trunc(F.add_months(run_date, -36), "quarter")
     return {
-        "daily": daily_metrics(history.filter(start >= three_years_ago)),
+        "daily": daily_metrics(history.filter(start >= F.lit(run.three_years_ago))),
         "monthly": monthly_metrics(history.filter(start <= run.end_of_last_month)),
         "device": device_report(found, standard_periods(run.run_date)),
         "paths": landing_second_exit(paths),
@@ -207,15 +213,35 @@ def facts_from_hits(
     }
 
 
-def stored_facts(spark: SparkSession, root: str, run: RunDates) -> dict[str, DataFrame]:
+def stored_facts(
+    spark: SparkSession,
+    root: str,
+    run: RunDates,
+    views: DataFrame | None = None,
+    delivered: Collection[str] = (),
+) -> dict[str, DataFrame]:
     """Inputs of :func:`publish_reports` from a folder of stored facts:
-    ``hits``, ``daily_geo`` (parquet) and ``population.csv``."""
+    ``hits``, ``daily_geo`` (parquet) and ``population.csv``.
+
+    With ``views``, the dimension, only listed views are reported, under the
+    names listed for their ids.  ``delivered`` names reports (``daily``,
+    ``monthly``) that a service has stored ready made; they are read through their
+    windows instead of being computed from hits.
+    """
+
+    def listed(facts: DataFrame) -> DataFrame:
+        return facts if views is None else tag_views(facts, views)
+
     daily_geo = spark.read.schema(FACTS["daily_geo"]).parquet(f"{root}/daily_geo")
-    return {
-        **facts_from_hits(read_fact(spark, f"{root}/hits", "hits"), run),
-        "geo": geo_report(daily_geo, standard_periods(run.run_date, fiscal=False)),
+    found = {
+        **facts_from_hits(listed(read_fact(spark, f"{root}/hits", "hits")), run),
+        "geo": geo_report(listed(daily_geo), standard_periods(run.run_date, fiscal=False)),
         "population": read_population(spark, f"{root}/population.csv"),
     }
+    readers = {"daily": daily_report, "monthly": monthly_report}
+    for name in delivered:
+        found[name] = listed(readers[name](spark, f"{root}/{name}", run))
+    return found
 
 
 def publish_reports(
@@ -230,14 +256,33 @@ def publish_reports(
 
     ``facts`` holds ``daily``, ``monthly``, ``geo``, ``population``, ``device``,
     ``paths`` and ``load``.  Datasets that others build on are read back from
-    their published files, so nothing is computed twice and no cached block
-    can be lost with an executor.
+    their written files, so nothing is computed twice and no cached block can be
+    lost with an executor.  All are written to a folder of this run first and
+    replace the tier's after the last one succeeded.
     """
-    paths: dict[str, str] = {}
-
+    paths = {name: dataset_path(root, tier, name) for name in OUTPUTS if name != DATASET}
+    folder = f"{root.rstrip('/')}/_run-{uuid.uuid4().hex}"
+    written: dict[str, str] = {}
+    try:
+        _write_reports(spark, facts, config, run, folder, tier, written)
+        replace_datasets(spark, {paths[name]: path for name, path in written.items()})
+    finally:
+        delete_folder(spark, folder)
+    return {name: paths[name] for name in written}
+
+
+def _write_reports(
+    spark: SparkSession,
+    facts: Mapping[str, DataFrame],
+    config: ReportConfig,
+    run: RunDates,
+    root: str,
+    tier: str,
+    written: dict[str, str],
+) -> None:
     def publish(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = write_dataset(df, root, tier, name)
-        return spark.read.schema(OUTPUTS[name]).parquet(paths[name])
+        written[name] = write_dataset(df, root, tier, name)
+        return spark.read.schema(OUTPUTS[name]).parquet(written[name])
 
     days = run.days_into_fiscal_year
     traffic = publish("three_year_traffic", three_year_traffic(facts["daily"], config))
@@ -259,7 +304,6 @@ def publish_reports(
     )
     publish("landing_exit_pages", landing_exit_pages(facts["paths"]))
     publish("page_load", page_load(facts["load"]))
-    return paths
 
 
 def publish_site_pages(

@@ -20,6 +20,7 @@ from trafficlens.plans import jobs
 from trafficlens.session import shared_folder, staged
 from trafficlens.sinks import daily as daily_sink
 from trafficlens.sources import sample
+from trafficlens.sources.readers import geo_report
 from trafficlens.streaming import site_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,17 +229,10 @@ CALENDAR_QUERIES: dict[str, Query] = {
 # -------------------------------------------------------------------- geo
 
 
-def _recent_geo(spark, sf_dir):
-    """Month and week only: over a year every pair of view and region occurs."""
-    return sample.geo(spark, sf_dir).filter(
-        F.col("period").isin(periods.MONTH_LABEL, periods.WEEK_LABEL)
-    )
-
-
 def _shares(spark, sf_dir):
     population = geo.population_share(sample.population(spark, sf_dir))
-    recent = staged(_recent_geo(spark, sf_dir), "geo")
-    return geo.state_traffic_share(recent, population, COUNTRY)
+    report = staged(sample.geo(spark, sf_dir), "geo")
+    return geo.state_traffic_share(report, population, COUNTRY)
 
 
 def _suppressed(spark, sf_dir):
@@ -251,11 +245,15 @@ def _suppressed(spark, sf_dir):
     )
 
 
+LEAP_DAY = dt.date(2000, 2, 29)
 SHARE_RATIOS = ("pop_pct", "sessions_pct", "sessions_population_ratio")
 WEEK_RATIOS = ("week_over_year", "weekly_average", "week_percent_from_average")
 
 GEO_QUERIES: dict[str, Query] = {
     "geo_report": lambda s, d: sample.geo(s, d),
+    "geo_report_leap_day": lambda s, d: geo_report(
+        sample.daily_geo(s, d), periods.standard_periods(LEAP_DAY, fiscal=False)
+    ),
     "population_share": lambda s, d: rounded(
         geo.population_share(sample.population(s, d)), "pop_pct"
     ),
@@ -376,12 +374,14 @@ def daily_site_partitions(spark, sf_dir):
 
 
 def streaming_site_page_counts(spark, sf_dir):
-    """Stream the page files through the counts and read the newest totals."""
+    """Stream the page files through the counts and read the newest totals.
+
+    The pattern matches the table itself, be it one file or a folder of files.
+    """
     stream = (
         site_counts.state_session(spark)
         .readStream.schema(sample.SCHEMAS["pages"])
-        .option("pathGlobFilter", "pages.parquet")
-        .parquet(sf_dir)
+        .parquet(f"{sf_dir}/pages.parque[t]")
     )
     counts = site_counts.streaming_site_page_counts(
         sample.page_views_of(stream), URL_LENGTHS, lateness="7 days"
@@ -423,7 +423,7 @@ def _from_traffic(job) -> Query:
 
 
 def _states(spark, sf_dir):
-    return jobs.state_traffic(_recent_geo(spark, sf_dir), CONFIG)
+    return jobs.state_traffic(sample.geo(spark, sf_dir), CONFIG)
 
 
 def _job_shares(spark, sf_dir):
