@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from conftest import day, rows
@@ -6,7 +7,10 @@ from pyspark.sql import functions as F
 
 from trafficlens import schemas
 from trafficlens.__main__ import main
+from trafficlens.functions.calendar import resolve_run_dates
+from trafficlens.plans import jobs
 from trafficlens.sinks.daily import read_days
+from trafficlens.sources.readers import read_views
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +77,30 @@ def test_reports_and_tables(spark, stored, tmp_path):
         spark.sql("DROP DATABASE published CASCADE")
 
 
+def test_views_decide_what_is_reported(spark, stored, tmp_path):
+    """An id under two names is reported under both, an unlisted one not at all."""
+    views = tmp_path / "views.json"
+    lines = [{"longName": name, "viewID": "a"} for name in ("one", "two")]
+    views.write_text("\n".join(map(json.dumps, lines)))
+    out = str(tmp_path / "out")
+    main(["reports", "--facts", stored, "--out", out, "--views", str(views), *NOW])
+    found = spark.read.parquet(f"{out}/test/three_year_traffic")
+    assert rows(found.groupBy("view_name").sum("sessions")) == [("one", 120.0), ("two", 120.0)]
+    views.write_text(json.dumps({"longName": "other", "viewID": "b"}))
+    run = resolve_run_dates(spark, dt.datetime(2021, 5, 21, 16))
+    facts = jobs.stored_facts(spark, stored, run, read_views(spark, str(views)))
+    assert facts["daily"].count() == facts["geo"].count() == 0
+
+
+def test_delivered_reports_are_read(spark, stored, tmp_path):
+    run = resolve_run_dates(spark, dt.datetime(2021, 5, 21, 16))
+    spark.createDataFrame(
+        [(day(d), 7.0, 1.0, "a", "A") for d in ("2018-03-31", "2021-05-20")], schemas.FACTS["daily"]
+    ).write.mode("overwrite").parquet(f"{stored}/daily")
+    facts = jobs.stored_facts(spark, stored, run, delivered=["daily"])
+    assert rows(facts["daily"], "date", "sessions") == [(day("2021-05-20"), 7.0)]
+
+
 def test_site_pages(spark, tmp_path):
     views = str(tmp_path / "views")
     spark.createDataFrame(

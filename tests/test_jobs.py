@@ -15,12 +15,12 @@ from trafficlens.sinks.daily import read_days
 CONFIG_TEXT = """
 {
   "merge_rules": [{"pattern": "^A"}, {"pattern": "A one|B", "new_name": "both"}],
-  "splice": {"splice_date": "2020-06-16", "fill_in": "B", "fill_with": "A two"},
+  "splice": {"splice_date": "2020-09-09", "fill_in": "B", "fill_with": "A two"},
   "launch_rules": [{"view_name": "A one", "launch": "2020-01-01"}],
   "excluded_view_ids": ["x"],
   "backfill_start": "2020-02-01",
   "country": {"regions": ["Ohio", "Utah"]},
-  "suppress": {"view_name": "B", "until": "2021-06-25"}
+  "suppress": {"view_name": "B", "until": "2021-08-14"}
 }
 """
 NOW = dt.datetime(2021, 5, 20, 16, 0)
@@ -33,7 +33,7 @@ def config():
 
 def test_config(config):
     assert config.merge_rules == (MergeRule("^A"), MergeRule("A one|B", "both"))
-    assert config.splice == SpliceRule("2020-06-16", "B", "A two")
+    assert config.splice == SpliceRule("2020-09-09", "B", "A two")
     assert config.launch_rules == (LaunchRule("A one", "2020-01-01"),)
     assert config.country.territory == "Puerto Rico"
     assert jobs.ReportConfig.from_json("{}") == jobs.ReportConfig()
@@ -121,9 +121,9 @@ def test_history_is_merged_then_spliced(published):
     traffic = published["three_year_traffic"]
     days = (day("2021-05-19") - day("2018-04-01")).days + 1
     assert traffic.count() == 5 * days
-    on = traffic.filter("date in (date'2020-06-15', date'2020-06-16')")
+    on = traffic.filter("date in (date'2020-09-08', date'2020-09-09')")
     assert rows(on.filter("view_name = 'B'"), "date", "sessions", "users", "view_id") == [
-        (day("2020-06-15"), 20.0, 2.0, "b"), (day("2020-06-16"), 40.0, 4.0, "b"),
+        (day("2020-09-08"), 20.0, 2.0, "b"), (day("2020-09-09"), 40.0, 4.0, "b"),
     ]
     # The merged view was built before the splice.
     assert rows(on.filter("view_name = 'both'"), "sessions", "users") == [(50.0, None)] * 2
@@ -187,3 +187,16 @@ def test_site_pages_default_to_yesterday_and_accumulate(spark, tmp_path):
     gap = {"start": day("2021-05-17"), "end": day("2021-05-18")}
     jobs.publish_site_pages(spark, views, root, NOW, **gap)
     assert rows(read_days(spark, path), "uniquePageviews") == [(1.0,), (2.0,), (3.0,)]
+
+
+def test_a_failed_run_leaves_the_tier_as_it_was(spark, facts, config, tmp_path):
+    root = str(tmp_path)
+    run = resolve_run_dates(spark, NOW)
+    paths = jobs.publish_reports(spark, facts, config, run, root)
+    before = {name: spark.read.parquet(path).count() for name, path in paths.items()}
+    broken = facts["load"].withColumn("pageLoadSample", F.raise_error(F.lit("no load")).cast("double"))
+    few = facts["daily"].limit(1)
+    with pytest.raises(Exception, match="no load"):
+        jobs.publish_reports(spark, {**facts, "daily": few, "load": broken}, config, run, root)
+    assert {name: spark.read.parquet(path).count() for name, path in paths.items()} == before
+    assert [p.name for p in tmp_path.iterdir()] == ["test"]

@@ -128,3 +128,44 @@ def test_stream_days_do_not_depend_on_the_session_zone(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [(dt.date(2021, 1, 1), "11111111", 1.0)]
+
+
+def test_empty_days_of_a_long_range_cost_no_job(spark, tmp_path):
+    path = str(tmp_path / "days")
+    first = dt.date(2021, 1, 1)
+    days = [first + dt.timedelta(days=i) for i in range(90)]
+    full = [("/12345678", str(d), 1.0) for d in days]
+    sink.run_daily(page_views(spark, *full), path, days[0], days[-1])
+    spark.sparkContext.setJobGroup("long range", "")
+    sink.run_daily(page_views(spark, full[3]), path, days[0], days[-1])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("long range")) <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(sink.read_days(spark, path), "date") == [(days[3],)]
+
+
+def test_log_without_input_is_empty(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    page_views(spark, ("/nothing", "2021-01-01", 1.0)).limit(0).write.parquet(folder)
+    assert run_stream(spark, folder, tmp_path).collect() == []
+
+
+def test_compaction_keeps_the_totals(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for batch, (at, total) in enumerate([(1, 1.0), (2, 5.0), (1, 3.0), (2, 6.0)]):
+        spark.createDataFrame(
+            [(dt.date(2024, 1, at), "12345678", total)], site_counts.LOGGED
+        ).write.parquet(f"{log}/batch={batch}")
+    before = rows(site_counts.current_counts(spark, log))
+    assert site_counts.compact_log(spark, log) == 2
+    assert rows(site_counts.current_counts(spark, log)) == before
+    assert site_counts.compact_log(spark, log) == 0
+
+
+def test_short_days_are_named(spark):
+    schema = site_counts.LOGGED
+    first, last = dt.date(2021, 1, 1), dt.date(2021, 1, 2)
+    batch = spark.createDataFrame(
+        [(first, "12345678", 3.0), (last, "12345678", 1.0), (last, "87654321", 2.0)], schema
+    )
+    streamed = spark.createDataFrame([(first, "12345678", 3.0), (last, "12345678", 1.0)], schema)
+    assert rows(site_counts.short_days(streamed, batch)) == [(last, 2.0)]

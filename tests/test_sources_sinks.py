@@ -1,12 +1,13 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from conftest import day, rows
 
 from trafficlens import schemas
 from trafficlens.functions.calendar import resolve_run_dates
-from trafficlens.session import shared_folder, staged
+from trafficlens.session import drop_staged, shared_folder, staged
 from trafficlens.sinks import datasets
 from trafficlens.sources import readers
 
@@ -31,6 +32,29 @@ def test_view_dimension(spark, tmp_path):
     ]
 
 
+def test_views_by_lines_and_as_an_array(spark, tmp_path):
+    views = [{"longName": name, "viewID": name} for name in "ABC"]
+    lines, array = tmp_path / "lines.json", tmp_path / "array.json"
+    lines.write_text("\n".join(map(json.dumps, views)))
+    array.write_text(json.dumps(views, indent=1))
+    for got in (
+        readers.read_views(spark, str(lines)),
+        readers.read_views(spark, str(array), array=True),
+    ):
+        assert rows(got, "view_id") == [("A",), ("B",), ("C",)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_views(spark, str(array)).collect()
+
+
+def test_a_bad_population_cell_is_named(spark, tmp_path):
+    path = tmp_path / "population.csv"
+    path.write_text(
+        "REGION,DIVISION,STATE,NAME,POPESTIMATE2019\n3,6,1,Alabama,\"4,903,185\"\n3,6,2,Utah,7\n"
+    )
+    with pytest.raises(Exception, match="POPESTIMATE2019 of Alabama is no number: 4,903,185"):
+        readers.read_population(spark, str(path)).collect()
+
+
 def test_population_file(spark, tmp_path):
     path = tmp_path / "population.csv"
     path.write_text(
@@ -163,3 +187,27 @@ def test_staged_frames_keep_schema_and_rows(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(folder)
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_declaring_another_tier_moves_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    datasets.write_dataset(regionality(spark, *REGIONALITY), root, "test", "regionality")
+    other = regionality(spark, ("B", "b", "7 days", 0.1))
+    datasets.write_dataset(other, root, "production", "regionality")
+    try:
+        datasets.declare_tables(spark, root, "test", ["regionality"])
+        datasets.declare_tables(spark, root, "production", ["regionality"])
+        assert rows(spark.table("regionality"), "view_name") == [("B",)]
+        spark.sql("DROP TABLE regionality")
+        spark.sql("CREATE TABLE regionality (x int) USING parquet")
+        with pytest.raises(ValueError, match="no external table"):
+            datasets.declare_tables(spark, root, "test", ["regionality"])
+    finally:
+        spark.sql("DROP TABLE regionality")
+
+
+def test_staged_folders_are_dropped(spark, tmp_path):
+    stored = staged(regionality(spark, *REGIONALITY), "dropped")
+    file = stored.inputFiles()[0]
+    drop_staged(spark)
+    assert not Path(file.removeprefix("file://")).exists()

@@ -17,9 +17,9 @@ from pathlib import Path
 from trafficlens.functions.calendar import resolve_run_dates
 from trafficlens.plans import jobs
 from trafficlens.schemas import OUTPUTS
-from trafficlens.session import build_session
+from trafficlens.session import build_session, drop_staged
 from trafficlens.sinks.datasets import TIERS, declare_tables
-from trafficlens.sources.readers import read_fact
+from trafficlens.sources.readers import read_fact, read_views
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -37,6 +37,14 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     reports = commands.add_parser("reports", parents=[shared])
     reports.add_argument("--facts", required=True)
     reports.add_argument("--config", type=Path)
+    reports.add_argument("--views", help="view dimension, JSON lines")
+    reports.add_argument(
+        "--delivered",
+        nargs="*",
+        default=(),
+        choices=("daily", "monthly"),
+        help="reports stored ready made under the facts",
+    )
     pages = commands.add_parser("site-pages", parents=[shared])
     pages.add_argument("--page-views", required=True)
     pages.add_argument("--start", type=dt.date.fromisoformat)
@@ -52,8 +60,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.command == "reports":
         run = resolve_run_dates(spark, args.now)
         config = jobs.ReportConfig.from_json(args.config.read_text() if args.config else "{}")
-        facts = jobs.stored_facts(spark, args.facts, run)
-        jobs.publish_reports(spark, facts, config, run, args.out, args.tier)
+        views = read_views(spark, args.views) if args.views else None
+        try:
+            facts = jobs.stored_facts(spark, args.facts, run, views, args.delivered)
+            jobs.publish_reports(spark, facts, config, run, args.out, args.tier)
+        finally:
+            drop_staged(spark)
     elif args.command == "site-pages":
         page_views = read_fact(spark, args.page_views, "page_views")
         jobs.publish_site_pages(

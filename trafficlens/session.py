@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,12 +32,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="trafficlens-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+# Folders of staged frames, for :func:`drop_staged`.
+_STAGED: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -44,5 +49,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     scanned with column pruning and filters, and safe against lost executors.
     """
     path = shared_folder(df.sparkSession, name)
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it wants it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder on the file system that its path names."""
+    files, place = file_system(spark, path)
+    return files.delete(place, True)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove the staged frames of this application, at the end of a job."""
+    while _STAGED:
+        delete_folder(spark, _STAGED.pop())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.functions.calendar import as_date
@@ -15,6 +15,7 @@ from trafficlens.operators.pages import (
     site_page_views,
 )
 from trafficlens.schemas import OUTPUTS, conform
+from trafficlens.session import file_system
 
 DATASET = "monitoring_location_pages"
 
@@ -23,8 +24,8 @@ def write_days(df: DataFrame, path: str, start: dt.date, end: dt.date) -> list[d
     """Write the rows of ``start``..``end`` under ``path/date=...``.
 
     Dynamic overwrite replaces the days that have rows and keeps all others.
-    A day of the range that came out empty is replaced by an empty partition,
-    so no rows of an earlier run survive.  Which days had rows is observed
+    The partition of a day of the range that came out empty is removed, so no
+    rows of an earlier run survive.  Which days had rows is observed
     during the write itself; there are at most as many as days in the range.
     The rebalance hint lets adaptive execution size the files of each day.
     Returns the days written with rows.
@@ -40,7 +41,7 @@ def write_days(df: DataFrame, path: str, start: dt.date, end: dt.date) -> list[d
         .parquet(path)
     )
     written = sorted(seen.get["days"] or [])
-    _clear_days(df, path, set(_days(start, end)) - set(written))
+    _clear_days(df.sparkSession, path, set(_days(start, end)) - set(written))
     return written
 
 
@@ -48,10 +49,13 @@ def _days(start: dt.date, end: dt.date) -> list[dt.date]:
     return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
 
 
-def _clear_days(df: DataFrame, path: str, days: set[dt.date]) -> None:
-    empty = df.filter(F.lit(False)).drop("date")
-    for day in sorted(days):
-        empty.write.mode("overwrite").parquet(f"{path}/date={day.isoformat()}")
+def _clear_days(spark: SparkSession, path: str, days: set[dt.date]) -> None:
+    """Remove the partitions of days; no job runs, whatever their number."""
+    files, place = file_system(spark, path)
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith("date=") and dt.date.fromisoformat(name[5:]) in days:
+            files.delete(status.getPath(), True)
 
 
 def read_days(spark, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -51,7 +51,7 @@ def between(df: DataFrame, date_col: str, start, end) -> DataFrame:
 def daily_report(spark: SparkSession, path: str, run: RunDates) -> DataFrame:
     """Daily sessions and users of the last three years, from a quarter's start."""
     daily = read_fact(spark, path, "daily")
-    return between(daily, "date", _known(run.three_years_ago), run.yesterday)
+    return between(daily, "date", run.three_years_ago, run.yesterday)
 
 
 # Fixed value: first month of the long-term history.
@@ -87,14 +87,15 @@ def site_page_report(
     )
 
 
-def read_views(spark: SparkSession, path: str) -> DataFrame:
-    """View dimension from JSON lines or a JSON array, one object per view.
+def read_views(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """View dimension from JSON lines, one object per view.
 
-    Absent keys read as NULL.  ``view_id``/``view_name`` repeat the key and
+    With ``array`` a file is one JSON array over several lines.  A line that is
+    no JSON fails the read.  Absent keys read as NULL.  ``view_id``/``view_name`` repeat the key and
     label under the names the facts use; the bot filter flag, spelled in many
     ways, becomes a nullable boolean.
     """
-    views = spark.read.schema(schemas.VIEWS).option("multiLine", True).json(path)
+    views = spark.read.schema(schemas.VIEWS).json(path, multiLine=array, mode="FAILFAST")
     flag = F.upper(F.trim("botFilteringEnabled"))
     return views.withColumns(
         {
@@ -108,20 +109,25 @@ def read_views(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_population(spark: SparkSession, path: str) -> DataFrame:
-    """Census population file: five of its columns, by header name."""
+    """Census population file: five of its columns, by header name.
+
+    A cell that is not of its column's type fails the read, naming its row.
+    """
     raw = spark.read.option("header", True).csv(path)
     wanted = schemas.FACTS["population"].fields
-    return raw.select(
-        *[
-            F.col(f.name)
-            if f.dataType == StringType()
-            else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in wanted
-        ]
-    )
 
+    def typed(field) -> Column:
+        cell = F.col(field.name)
+        if field.dataType == StringType():
+            return cell
+        value = cell.try_cast(field.dataType)
+        problem = F.concat(
+            F.lit(f"population: {field.name} of "),
+            F.coalesce("NAME", F.lit("a row without a name")),
+            F.lit(" is no number: "),
+            cell,
+        )
+        bad = cell.isNotNull() & value.isNull()
+        return F.when(bad, F.raise_error(problem)).otherwise(value).alias(field.name)
 
-def _known(day: dt.date | None) -> dt.date:
-    if day is None:
-        raise ValueError("the run date is 29 February; give the start explicitly")
-    return day
+    return raw.select(*[typed(field) for field in wanted])

@@ -4,7 +4,8 @@ Counts are updated as page views arrive.  Every micro-batch writes the new
 totals of the (date, site) pairs it changed to a folder of its own, so a
 repeated batch overwrites itself and no earlier file is rewritten; readers
 take the newest total of each pair.  Page views later than the watermark are
-dropped by the stream; the batch job over the affected days repairs them.
+dropped by the stream: ``dropped_rows`` counts them, ``short_days`` names the days
+that lack some, and the batch job over those days repairs them.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trafficlens.operators.pages import SITE_NUMBER_LENGTHS, site_numbers
+from trafficlens.session import delete_folder, file_system
 from trafficlens.sinks.daily import write_days
 
 SECONDS_PER_DAY = 86_400
+LOGGED = "date date, site_no string, uniquePageviews double"
 
 
 def streaming_site_page_counts(
@@ -63,7 +66,12 @@ def state_session(spark: SparkSession) -> SparkSession:
 
 
 def start_counts(counts: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Process all available input and log the changed totals of each batch."""
+    """Process all available input and log the changed totals of each batch.
+
+    The log exists from the start, also if no batch follows.
+    """
+    spark = counts.sparkSession
+    spark.createDataFrame([], LOGGED).write.mode("overwrite").parquet(f"{log_path}/batch=-1")
 
     def write_changes(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
@@ -79,14 +87,60 @@ def start_counts(counts: DataFrame, log_path: str, checkpoint: str) -> Streaming
 
 def current_counts(spark: SparkSession, log_path: str) -> DataFrame:
     """Newest total of each (date, site) in the log."""
-    log = spark.read.schema(
-        "date date, site_no string, uniquePageviews double, batch bigint"
-    ).parquet(log_path)
+    return _newest(_read_log(spark, log_path))
+
+
+def _read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return spark.read.schema(f"{LOGGED}, batch bigint").parquet(log_path)
+
+
+def _newest(log: DataFrame) -> DataFrame:
     return log.groupBy("date", "site_no").agg(
         F.max_by("uniquePageviews", "batch").alias("uniquePageviews")
     )
 
 
+def compact_log(spark: SparkSession, log_path: str) -> int:
+    """Fold all batches but the newest into one; returns how many went.
+
+    The folded totals are added to the last of them before the others are
+    removed, so a log that is left half-way gives the same totals.  The newest
+    batch, which the stream may write again, is not touched.
+    """
+    files, place = file_system(spark, log_path)
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    batches = sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+    old = [n for n in batches[:-1] if n >= 0]
+    if len(old) < 2:
+        return 0
+    folded = _newest(_read_log(spark, log_path).filter(F.col("batch") <= old[-1]))
+    folded.write.mode("append").parquet(f"{log_path}/batch={old[-1]}")
+    for batch in old[:-1]:
+        delete_folder(spark, f"{log_path}/batch={batch}")
+    return len(old) - 1
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Groups of page views that the stream left out as later than the watermark."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
+def short_days(counts: DataFrame, batch_counts: DataFrame) -> DataFrame:
+    """Days whose streamed totals are below those of the batch job, and by how much."""
+    streamed = counts.select("date", "site_no", F.col("uniquePageviews").alias("streamed"))
+    missing = F.col("uniquePageviews") - F.coalesce("streamed", F.lit(0.0))
+    return (
+        batch_counts.join(streamed, ["date", "site_no"], "left")
+        .groupBy("date")
+        .agg(F.sum(missing).alias("missing"))
+        .filter("missing > 0")
+    )
+
+
 def publish_counts(
     spark: SparkSession, log_path: str, path: str, start: dt.date, end: dt.date
 ) -> list[dt.date]:
