@@ -29,8 +29,8 @@ TABLE_BITS = 16
 SWITCH = 12.0
 # A script is one of a language's if this share of its training letters is in it.
 SCRIPT_SHARE = 0.02
-GROUP_BYTES = 32 << 20
-PIECE_BYTES = 2 << 20
+GROUP_CHARS = 6 << 20
+PIECE_CHARS = 1 << 19
 
 # First and last code point of the letters of scripts.
 SCRIPTS = (
@@ -90,7 +90,7 @@ def letters_of(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(scripts > 0, points, 0), scripts
 
 
-def blocks(text: str, size: int = PIECE_BYTES) -> Iterator[str]:
+def blocks(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     """A long text cut at spaces, so that words stay whole."""
     start = 0
     while len(text) - start > size:
@@ -249,12 +249,14 @@ def viterbi(scores: np.ndarray, ends: np.ndarray, switch: float = SWITCH) -> np.
     return labels
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(column: pa.Array) -> Iterator[list[str]]:
+    """Texts of a column in groups of bounded size; null is empty."""
     held, size = [], 0
-    for text in texts:
+    for value in column:
+        text = value.as_py() or ""
         held.append(text)
         size += len(text)
-        if size >= GROUP_BYTES:
+        if size >= GROUP_CHARS:
             yield held
             held, size = [], 0
     if held:
@@ -267,7 +269,7 @@ def _label(model: Model, switch: float, keep: tuple[str, ...]):
         kinds = len(model.languages)
         for batch in batches:
             langs, shares, spans = [], [], []
-            for texts in _groups([x or "" for x in batch.column("text").to_pylist()]):
+            for texts in _groups(batch.column("text")):
                 words = score_words(texts, model, table)
                 if not kinds:
                     langs += ["und"] * len(texts)

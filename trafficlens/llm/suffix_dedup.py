@@ -44,11 +44,11 @@ from trafficlens.session import staged
 
 WINDOW = 50
 GRAM = 20
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 SAMPLE_CHUNKS = 64
 SAMPLE_HEADS = 256
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _REACH = WINDOW - GRAM
 _SPAN = _REACH + WINDOW
@@ -283,16 +283,16 @@ def contexts(
 ) -> np.ndarray:
     """The suffixes of anchors with the bytes that their windows span, else zero."""
     out = np.zeros(len(found["at"]), _SUFFIX)
-    at, least, most = found["at"], found["least"], found["most"]
-    after = np.arange(WINDOW)
-    right = data[np.minimum(at[:, None] + after, len(data) - 1)]
-    right[after >= (WINDOW - least)[:, None]] = 0
-    before = np.arange(1, _REACH + 1)
-    left = data[np.maximum(at[:, None] - before, 0)]
-    left[before > most[:, None]] = 0
     bytes_of = out.view(np.uint8).reshape(len(out), _SUFFIX.itemsize)
-    bytes_of[:, :WINDOW] = right
-    bytes_of[:, WINDOW : WINDOW + _REACH] = left
+    after, before = np.arange(WINDOW), np.arange(1, _REACH + 1)
+    for low in range(0, len(out), 1 << 14):
+        some = slice(low, low + (1 << 14))
+        at, least, most = (found[name][some, None] for name in ("at", "least", "most"))
+        right = data[np.minimum(at + after, len(data) - 1)]
+        left = data[np.maximum(at - before, 0)]
+        bytes_of[some, :WINDOW] = np.where(after < WINDOW - least, right, 0)
+        bytes_of[some, WINDOW:_SPAN] = np.where(before <= most, left, 0)
+    at, least, most = found["at"], found["least"], found["most"]
     out["id"], out["row"] = ids[found["row"]], found["row"]
     out["at"] = at - ends[found["row"]]
     out["least"], out["most"] = least, most
