@@ -38,6 +38,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     reports.add_argument("--facts", required=True)
     reports.add_argument("--config", type=Path)
     reports.add_argument("--views", help="view dimension, JSON lines")
+    reports.add_argument("--sessions", help="folder that keeps sessions from run to run")
     reports.add_argument(
         "--delivered",
         nargs="*",
@@ -62,7 +63,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         config = jobs.ReportConfig.from_json(args.config.read_text() if args.config else "{}")
         views = read_views(spark, args.views) if args.views else None
         try:
-            facts = jobs.stored_facts(spark, args.facts, run, views, args.delivered)
+            facts = jobs.stored_facts(
+                spark, args.facts, run, views, args.delivered, args.sessions
+            )
             jobs.publish_reports(spark, facts, config, run, args.out, args.tier)
         finally:
             drop_staged(spark)

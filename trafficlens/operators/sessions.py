@@ -39,14 +39,18 @@ def _micros(interval: Column) -> Column:
     return F.call_function("div", interval, F.lit(timedelta(microseconds=1)))
 
 
-def with_slot(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
-    """Attributable hits with the number of their time slot."""
+def _slot(df: DataFrame, time: str, gap: timedelta) -> Column:
     kind = (
         "timestamp_ntz'0001-01-01 00:00:00'"
-        if isinstance(hits.schema["ts"].dataType, TimestampNTZType)
+        if isinstance(df.schema[time].dataType, TimestampNTZType)
         else "timestamp'0001-01-01 00:00:00Z'"
     )
-    slot = F.call_function("div", F.col("ts") - F.expr(kind), F.lit(gap))
+    return F.call_function("div", F.col(time) - F.expr(kind), F.lit(gap))
+
+
+def with_slot(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
+    """Attributable hits with the number of their time slot."""
+    slot = _slot(hits, "ts", gap)
     attributable = F.lit(True)
     for name in (*USER, "ts"):  # plain tests, which reach the reader
         attributable = attributable & F.col(name).isNotNull()
@@ -97,7 +101,8 @@ def hit_slots(
 
 def number_sessions(slots: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
     """Slots with ``session_no``, counted from 1 per (view, user)."""
-    in_order = W.partitionBy(*USER).orderBy("slot")
+    # A slot is there twice if the start of it was stored by an earlier run.
+    in_order = W.partitionBy(*USER).orderBy("slot", "start_ts")
     idle = F.col("start_ts") - F.lag("end_ts").over(in_order)
     opens = F.when(idle < F.lit(gap), 0).otherwise(1)
     return slots.withColumn("__opens", opens).select(
@@ -108,6 +113,24 @@ def number_sessions(slots: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame
     )
 
 
+def slots_of_sessions(sessions: DataFrame, gap: timedelta) -> DataFrame:
+    """Sessions as slots that later slots may continue."""
+    return sessions.withColumn("slot", _slot(sessions, "start_ts", gap))
+
+
+def join_slots(slots: DataFrame, gap: timedelta) -> DataFrame:
+    """Sessions of slots: start, end, hits and, if kept, the first hit."""
+    aggregates = [
+        F.min("start_ts").alias("start_ts"),
+        F.max("end_ts").alias("end_ts"),
+        F.sum("hits").alias("hits"),
+    ]
+    if "first_hit" in slots.columns:
+        aggregates.append(F.min("first_hit").alias("first_hit"))
+    numbered = number_sessions(slots, gap)
+    return numbered.groupBy(*USER, "session_no").agg(*aggregates).drop("session_no")
+
+
 def sessionize(
     hits: DataFrame,
     gap: timedelta = DEFAULT_GAP,

@@ -66,6 +66,7 @@ from trafficlens.schemas import FACTS, OUTPUTS, conform
 from trafficlens.session import delete_folder, staged
 from trafficlens.sinks.daily import DATASET, run_daily
 from trafficlens.sinks.datasets import dataset_path, replace_datasets, write_dataset
+from trafficlens.sinks.sessions import extend_sessions, stored_sessions
 from trafficlens.sources.readers import (
     daily_report,
     geo_report,
@@ -185,16 +186,29 @@ def state_week_vs_year(states: DataFrame, config: ReportConfig, today) -> DataFr
     return conform(compared, OUTPUTS["state_week_vs_year"])
 
 
+DIMENSIONS = ("deviceCategory", "browser")
+
+
 def facts_from_hits(
-    hits: DataFrame, run: RunDates, gap: dt.timedelta = DEFAULT_GAP
+    hits: DataFrame,
+    run: RunDates,
+    gap: dt.timedelta = DEFAULT_GAP,
+    store: str | None = None,
 ) -> dict[str, DataFrame]:
     """The reports that a tracking service would deliver, from raw hits.
 
-    Sessions are numbered over all hits, so a session is new only if it is its
-    user's first ever; they are stored once for the three reports built on
-    them.  Sessions belong to the day they start on.
+    A session is new only if it is its user's first ever.  With ``store``, a
+    folder of stored sessions, they are extended by the hits since its last run
+    up to the run date, and no older hit is read for them.  Without, all hits
+    are sessionized and stored once for the three reports built on them.  Sessions
+    belong to the day they start on.
     """
-    found = staged(sessionize(hits, gap, first=("deviceCategory", "browser")), "sessions")
+    if store is None:
+        found = staged(sessionize(hits, gap, first=DIMENSIONS), "sessions")
+    else:
+        until = dt.datetime.combine(run.run_date, dt.time())
+        extend_sessions(hits, store, until, gap, DIMENSIONS)
+        found = stored_sessions(hits.sparkSession, store)
     year_ago = F.lit(run.one_year_ago)
     start = F.to_date("start_ts")
     paths = session_paths(hits_since(hits, year_ago, gap), gap).filter(
@@ -219,6 +233,7 @@ def stored_facts(
     run: RunDates,
     views: DataFrame | None = None,
     delivered: Collection[str] = (),
+    store: str | None = None,
 ) -> dict[str, DataFrame]:
     """Inputs of :func:`publish_reports` from a folder of stored facts:
     ``hits``, ``daily_geo`` (parquet) and ``population.csv``.
@@ -226,7 +241,8 @@ def stored_facts(
     With ``views``, the dimension, only listed views are reported, under the
     names listed for their ids.  ``delivered`` names reports (``daily``,
     ``monthly``) that a service has stored ready made; they are read through their
-    windows instead of being computed from hits.
+    windows instead of being computed from hits.  ``store`` is a folder in which
+    sessions are kept from run to run.
     """
 
     def listed(facts: DataFrame) -> DataFrame:
@@ -234,7 +250,7 @@ def stored_facts(
 
     daily_geo = spark.read.schema(FACTS["daily_geo"]).parquet(f"{root}/daily_geo")
     found = {
-        **facts_from_hits(listed(read_fact(spark, f"{root}/hits", "hits")), run),
+        **facts_from_hits(listed(read_fact(spark, f"{root}/hits", "hits")), run, store=store),
         "geo": geo_report(listed(daily_geo), standard_periods(run.run_date, fiscal=False)),
         "population": read_population(spark, f"{root}/population.csv"),
     }

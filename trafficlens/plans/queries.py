@@ -19,6 +19,7 @@ from trafficlens.operators import backfill, geo, pages, periods, sessions, summa
 from trafficlens.plans import jobs
 from trafficlens.session import shared_folder, staged
 from trafficlens.sinks import daily as daily_sink
+from trafficlens.sinks import sessions as session_store
 from trafficlens.sources import sample
 from trafficlens.sources.readers import geo_report
 from trafficlens.streaming import site_counts
@@ -323,8 +324,28 @@ def _load(spark, sf_dir):
     return pages.page_load_metrics(sample.hits(spark, sf_dir), GAP)
 
 
+# Ends of three runs, one of them within sessions.
+RUN_ENDS = (
+    dt.datetime(2024, 1, 9),
+    dt.datetime(2024, 1, 17, 12, 34, 56),
+    dt.datetime(2030, 1, 1),
+)
+
+
+def sessions_in_runs(spark, sf_dir):
+    """Sessions stored in three runs, each from the hits since the one before."""
+    store = shared_folder(spark, "session-store")
+    hits = sample.hits(spark, sf_dir)
+    for end in RUN_ENDS:
+        session_store.extend_sessions(hits, store, end, GAP)
+    return session_store.stored_sessions(spark, store).withColumn(
+        "session_no", F.coalesce("session_no", F.lit(0)).cast("long")
+    )
+
+
 HIT_QUERIES: dict[str, Query] = {
     "sessionize": lambda s, d: sessions.sessionize(sample.hits(s, d), GAP),
+    "sessions_in_runs": sessions_in_runs,
     "tag_hits": lambda s, d: sessions.tag_hits(sample.hits(s, d), GAP).select(
         "hit_id", "view_id", "user_id", "session_no"
     ),
