@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from trafficlens.functions.calendar import as_date
 from trafficlens.functions.numbers import percent_change, ratio, strict_sum
+from trafficlens.operators.periods import MONTH_LABEL, WEEK_LABEL, YEAR_LABEL
 
 # The fifty states as traffic reports name them.
 US_STATES = (
@@ -142,11 +143,12 @@ def week_vs_year(df: DataFrame, country: str = "United States") -> DataFrame:
     """Sessions of the three periods side by side, and the week's deviation.
 
     The pivot is a conditional aggregation: the period names are known, so
-    neither a job to find them nor a second aggregation is needed.
+    neither a job to find them nor a second aggregation is needed.  Several rows
+    of a view, region and period add up.
     """
 
     def in_period(label: str) -> Column:
-        return F.max(F.when(F.col("period") == label, F.col("sessions")))
+        return F.sum(F.when(F.col("period") == label, F.col("sessions")))
 
     year, week = F.col("`365_days`"), F.col("`7_days`")
     average = F.col("weekly_average")
@@ -154,9 +156,9 @@ def week_vs_year(df: DataFrame, country: str = "United States") -> DataFrame:
         df.filter(F.col("country") == country)
         .groupBy("view_id", "view_name", "region")
         .agg(
-            in_period("365 days").alias("365_days"),
-            in_period("30 days").alias("30_days"),
-            in_period("7 days").alias("7_days"),
+            in_period(YEAR_LABEL).alias("365_days"),
+            in_period(MONTH_LABEL).alias("30_days"),
+            in_period(WEEK_LABEL).alias("7_days"),
         )
         .withColumn("week_over_year", ratio(week, year))
         .withColumn("weekly_average", year / WEEKS_PER_YEAR)

@@ -30,6 +30,7 @@ def schema(columns: dict[str, DataType]) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
+# The columns of the inputs and of the published datasets.
 VIEWS = schema(
     {
         "longName": STRING,
