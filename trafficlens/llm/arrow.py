@@ -7,10 +7,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
+# Bytes of a batch that goes to a Python worker, however long its texts are.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the batches of its session by ``BATCH_BYTES``.
+
+    The bound by rows alone would let a batch grow with the length of texts.  It
+    stays set in the session.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and where each row starts and ends; null is empty."""
     filled = column.fill_null("").cast(pa.large_string()).cast(pa.large_binary())

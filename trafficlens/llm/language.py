@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.llm.arrow import small_batches
+
 # Upper bound, on average, of training documents per language.
 TRAIN_DOCS = 3000
 TABLE_BITS = 16
@@ -151,7 +153,7 @@ def fit(docs: DataFrame, train: Column, train_docs: int = TRAIN_DOCS) -> Model:
         return Model([], np.zeros((1 << TABLE_BITS, 0)), np.zeros((len(NAMES), 0), bool), 0)
     steps = {lang: max(1, round(sizes[lang] / train_docs)) for lang in languages}
     step = F.create_map(*[F.lit(x) for lang in languages for x in (lang, steps[lang])])
-    sample = known.filter(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), step[F.col("lang")]) == 0)
+    sample = small_batches(known).filter(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), step[F.col("lang")]) == 0)
     counted = (
         sample.select("lang", "text")
         .mapInArrow(_count, "lang string, place long, n long")
@@ -332,7 +334,7 @@ def identify(
     """Per row ``doc_id``, the columns ``keep``, ``lang_pred``, ``score`` and the
     labelled ``spans`` of words."""
     held = ["text", *[c for c in keep if c != "text"]]
-    rows = docs.select(F.col("doc_id").cast("long"), *held)
+    rows = small_batches(docs.select(F.col("doc_id").cast("long"), *held))
     kept = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in keep)
     return rows.mapInArrow(
         _label(model, switch, keep),

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trafficlens.llm.arrow import small_batches
 from trafficlens.session import staged
 
 CAPACITY = 1024
@@ -172,7 +173,8 @@ def pieces(
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids, and their number ``nth`` among those of
     one length in the input partition ``part``; on request the ids themselves."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    texts = small_batches(docs.select(F.col("doc_id").cast("long"), "text"))
+    return texts.mapInArrow(
         _cut(tokenizer, capacity, end_id, with_ids),
         f"{_PIECE}, part long, nth long" + ", ids binary" * with_ids,
     )

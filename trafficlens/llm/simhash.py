@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.arrow import utf8, word_blocks
+from trafficlens.llm.arrow import small_batches, utf8, word_blocks
 from trafficlens.llm.components import components, group_roots
 from trafficlens.session import staged
 
@@ -99,9 +99,8 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
                 ["doc_id", "fp"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    texts = small_batches(docs.select(F.col("doc_id").cast("long"), "text"))
+    return texts.mapInArrow(run, "doc_id long, fp long")
 
 
 def chains(segments: int = SEGMENTS, distance: int = DISTANCE) -> list[list[tuple[int, int]]]:

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.arrow import utf8
+from trafficlens.llm.arrow import small_batches, utf8
 from trafficlens.session import staged
 
 WINDOW = 50
@@ -537,7 +537,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     The column ``text`` is left as it was.
     """
-    docs = docs.drop(*NEW_COLUMNS)
+    docs = small_batches(docs.drop(*NEW_COLUMNS))
     chunks = staged(docs.mapInArrow(_pack, "chunk long, size long, payload binary"), "chunks")
     total = chunks.agg(
         F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.count(F.lit(1)).alias("n")
