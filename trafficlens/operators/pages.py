@@ -15,6 +15,7 @@ from trafficlens.operators.sessions import (
     DEFAULT_GAP,
     SLOT,
     USER,
+    attributable,
     hit_slots,
     number_sessions,
     sessionize,
@@ -164,7 +165,7 @@ def page_load_metrics(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFram
         ]
 
     loads = (
-        hits.dropna("any", subset=[*USER, "ts"])
+        attributable(hits)
         .groupBy(*page)
         .agg(
             F.count(F.lit(1)).alias("views"),

@@ -48,13 +48,16 @@ def _slot(df: DataFrame, time: str, gap: timedelta) -> Column:
     return F.call_function("div", F.col(time) - F.expr(kind), F.lit(gap))
 
 
+def attributable(hits: DataFrame) -> DataFrame:
+    """Hits with a view, a user and a time; plain tests, which reach the reader."""
+    for name in (*USER, "ts"):
+        hits = hits.filter(F.col(name).isNotNull())
+    return hits
+
+
 def with_slot(hits: DataFrame, gap: timedelta = DEFAULT_GAP) -> DataFrame:
     """Attributable hits with the number of their time slot."""
-    slot = _slot(hits, "ts", gap)
-    attributable = F.lit(True)
-    for name in (*USER, "ts"):  # plain tests, which reach the reader
-        attributable = attributable & F.col(name).isNotNull()
-    return hits.filter(attributable).withColumn("slot", slot)
+    return attributable(hits).withColumn("slot", _slot(hits, "ts", gap))
 
 
 def hits_since(
