@@ -73,6 +73,22 @@ def test_templates_learn_from_labelled_branches(spark):
     }
 
 
+def test_templates_without_labels_are_allowed_by_rules_that_only_block(spark):
+    rules = [("shop.net", "/ads/1", "block")]
+    rows = []
+    for i in range(60):
+        rows.append((len(rows), f"http://shop.net/ads/{i}"))
+        rows.append((len(rows), f"http://shop.net/about/w{i}"))
+        rows.append((len(rows), f"http://other.net/ads/{i}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = url_filter.judge(pages, rules).collect()
+    assert {(r["host"], r["template"], r["verdict"]) for r in found} == {
+        ("shop.net", "/*/*", "block"),
+        ("shop.net", "/about/*", "allow"),
+        ("other.net", "/ads/*", "allow"),
+    }
+
+
 def test_rare_and_alike_branches_are_merged(spark):
     rules = [("a.net", "/", "allow")]
     rows = [(i, f"http://a.net/{'abc'[i % 3] if i < 60 else 'rare' + 'x' * i}/p") for i in range(64)]

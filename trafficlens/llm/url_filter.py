@@ -12,7 +12,7 @@ reject:
   blocked urls does not differ from their parent's by a two-sided z test at ``Z``:
   they are merged, and their subtrees with them;
 * a template's purity is its share of blocked labels, smoothed towards that of all
-  labelled urls; it is rejected if that reaches ``REJECT``, so never without labels.
+  labelled urls; it is rejected if it has labelled urls of its own and that reaches ``REJECT``.
 
 The tree is built on counts per (host, masked path), so a host with any share of
 all urls meets in groups after map-side combine only, and no group is gathered.
@@ -114,7 +114,7 @@ def _level(nodes: DataFrame, depth: int) -> DataFrame:
 
 
 def templates(urls: DataFrame) -> DataFrame:
-    """``host``, ``masked`` path, ``template`` and its smoothed ``purity``.
+    """``host``, ``masked`` path, ``template``, its smoothed ``purity`` and if it is ``taught``.
 
     ``urls`` has ``host``, ``masked`` (array of segments) and ``verdict`` (allow,
     block or null).
@@ -132,7 +132,8 @@ def templates(urls: DataFrame) -> DataFrame:
     total = nodes.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).first()
     base = (total["b"] or 0) / total["l"] if total["l"] else 0.0
     known = nodes.groupBy("host", "template").agg(
-        ((F.sum("blocked") + PRIOR * base) / (F.sum("labelled") + PRIOR)).alias("purity")
+        ((F.sum("blocked") + PRIOR * base) / (F.sum("labelled") + PRIOR)).alias("purity"),
+        (F.sum("labelled") > 0).alias("taught"),
     )
     return nodes.select("host", "masked", "template").join(known, ["host", "template"])
 
@@ -155,7 +156,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         "urls",
     )
     found = templates(seen.select("host", "masked", "verdict"))
-    by_tree = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
+    rejected = F.col("taught") & (F.col("purity") >= REJECT)
+    by_tree = F.when(rejected, "block").otherwise("allow")
     return seen.join(found, ["host", "masked"]).select(
         "page_id",
         "host",
