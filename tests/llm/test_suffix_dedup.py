@@ -123,3 +123,23 @@ def test_equal_windows_have_their_anchor_at_the_same_place():
         inside = (at - found["least"] >= 0) & (at - found["most"] + 50 <= 120)
         places.append(set(at[inside].tolist()))
     assert places[0] == places[1] and places[0]
+
+
+def test_one_line_in_many_contexts_is_parted(spark, monkeypatch):
+    """Equal leading bytes, other text around: parted by window, and the same result."""
+    rng = np.random.default_rng(8)
+    line = "".join(rng.choice(list("abcdefgh"), 64))
+    around = ["".join(rng.choice(list("stuvwxyz"), 60)) for _ in range(400)]
+    rows = [(i, a[:30] + line + a[30:]) for i, a in enumerate(around)]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    ends = np.arange(401) * 124
+    found = suffix_dedup.anchors(data, ends)
+    suffixes = suffix_dedup.contexts(data, ends, np.arange(400), found)
+    heads, times = np.unique(suffixes["head"], return_counts=True)
+    hot = suffixes[suffixes["head"] == heads[times.argmax()]]
+    windows, part, _ = suffix_dedup.split_windows(hot, 16)
+    assert len(hot) >= 400 and np.bincount(part).max() < len(windows) / 8
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 5000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 2000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert ours(docs) == plain(rows)

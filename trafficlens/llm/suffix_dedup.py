@@ -21,6 +21,10 @@ anchor are not equal, and the result is that of all suffixes.
    longest common prefixes of neighbours in both orders.  Splitters fall only
    between different leading bytes: neighbours across a boundary share less than
    ``GRAM`` bytes, which ``boundary_prefix`` checks, and can share no window.
+   Leading bytes whose suffixes would fill a bucket (counted on the sampled
+   chunks) are parted by window instead: a chunk sends each of their windows once
+   per smallest document to a bucket by the window's hash, so that no bucket has
+   more than the chunks hold of one window.
 5. The removed spans go back to the chunks.
 
 Null text is empty; texts shorter than the window keep all bytes; a null
@@ -258,26 +262,12 @@ _SUFFIX = np.dtype(
         ("most", np.uint8),
     ]
 )
+_WINDOW = np.dtype(
+    [("window", f"V{WINDOW}"), ("id", np.int64), ("row", np.uint32), ("start", np.uint32)]
+)
 _CUT = np.dtype([("row", np.uint32), ("start", np.uint32), ("end", np.uint32)])
 
 
-def _heads(splits: int):
-    """A few leading byte strings of the sampled chunks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for payload in batch.column("payload"):
-                data, ends = utf8(_unpack(payload).column("text"))
-                found = anchors(data, ends)
-                take = found["at"][np.argsort(found["hash"])[:splits]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([data[a : a + GRAM].tobytes() for a in take], pa.binary())],
-                    ["head"],
-                )
-
-    return run
-
-
 def contexts(
     data: np.ndarray, ends: np.ndarray, ids: np.ndarray, found: dict[str, np.ndarray]
 ) -> np.ndarray:
@@ -334,8 +324,98 @@ def decide_at_home(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[order[~later]], _spans(gone, gone["least"], gone["most"])
 
 
-def _send(splitters: np.ndarray, buckets: int):
-    """Suffixes of a chunk by range bucket; decided spans under a negative bucket."""
+def _heads(splits: int):
+    """A few leading byte strings of the sampled chunks, without ``n``; those that
+    have several contexts in a chunk with their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column("payload"):
+                held = _unpack(payload)
+                data, ends = utf8(held.column("text"))
+                found = anchors(data, ends)
+                take = found["at"][np.argsort(found["hash"])[:splits]]
+                some = [data[a : a + GRAM].tobytes() for a in take]
+                _, where, times = np.unique(found["hash"], return_inverse=True, return_counts=True)
+                often = times[where] > 1
+                found = {name: values[often] for name, values in found.items()}
+                rows, _ = decide_at_home(contexts(data, ends, _ids(held), found))
+                raw = rows.view(np.uint8).reshape(len(rows), _SUFFIX.itemsize)
+                order = multikey_order(raw[:, :GRAM]) if len(rows) else np.empty(0, np.int64)
+                first = np.flatnonzero(common_prefixes(raw[order, :GRAM]) < GRAM) if len(rows) else order
+                n = np.diff(np.append(first, len(rows)))
+                several = first[n > 1]
+                some += [raw[i, :GRAM].tobytes() for i in order[several]]
+                numbers = [None] * len(take) + n[n > 1].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.binary()), pa.array(numbers, pa.int64())], ["head", "n"]
+                )
+
+    return run
+
+
+def windows_of(rows: np.ndarray, offset: int) -> np.ndarray:
+    """The windows that start ``offset`` bytes before the anchors."""
+    rows = rows[(rows["least"] <= offset) & (offset <= rows["most"])]
+    raw = rows.view(np.uint8).reshape(len(rows), _SUFFIX.itemsize)
+    line = np.concatenate([raw[:, WINDOW:_SPAN][:, ::-1], raw[:, :WINDOW]], axis=1)
+    out = np.zeros(len(rows), _WINDOW)
+    out.view(np.uint8).reshape(len(rows), _WINDOW.itemsize)[:, :WINDOW] = line[
+        :, _REACH - offset : _SPAN - offset
+    ]
+    out["id"], out["row"], out["start"] = rows["id"], rows["row"], rows["at"] - offset
+    return out
+
+
+def later(found: np.ndarray) -> np.ndarray:
+    """Of each window, if it is also in a smaller document."""
+    if not len(found):
+        return np.empty(0, bool)
+    raw = found.view(np.uint8).reshape(len(found), _WINDOW.itemsize)[:, :WINDOW]
+    order = multikey_order(raw)
+    first = np.flatnonzero(common_prefixes(raw[order]) < WINDOW)
+    ids = found["id"][order]
+    least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(ids))))
+    gone = np.empty(len(found), bool)
+    gone[order] = ids > least
+    return gone
+
+
+def _window_cuts(found: np.ndarray) -> np.ndarray:
+    cuts = np.empty(len(found), _CUT)
+    cuts["row"], cuts["start"], cuts["end"] = found["row"], found["start"], found["start"] + WINDOW
+    return cuts
+
+
+def split_windows(rows: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows to compare elsewhere, the part of each by its hash, and spans decided here."""
+    opened, cuts = [np.empty(0, _WINDOW)], [np.empty(0, _CUT)]
+    for offset in range(_REACH + 1):  # equal windows have their anchor at the same place
+        found = windows_of(rows, offset)
+        gone = later(found)
+        opened.append(found[~gone])
+        cuts.append(_window_cuts(found[gone]))
+    found = np.concatenate(opened)
+    raw = found.view(np.uint8).reshape(len(found), _WINDOW.itemsize)
+    mixed = np.zeros(len(found), np.uint64)
+    with np.errstate(over="ignore"):
+        for column in range(WINDOW):
+            mixed = (mixed ^ raw[:, column]) * _MIX
+            mixed ^= mixed >> np.uint64(31)
+    return found, (mixed % np.uint64(parts)).astype(np.int64), np.concatenate(cuts)
+
+
+def _parts(order: np.ndarray, place: np.ndarray, rows: np.ndarray) -> list[tuple[int, bytes]]:
+    place, rows = place[order], rows[order]
+    starts = np.flatnonzero(np.diff(place, prepend=-1))
+    return [
+        (int(place[a]), rows[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(place)])
+    ]
+
+
+def _send(splitters: np.ndarray, buckets: int, hot: np.ndarray, parts: int):
+    """Suffixes of a chunk by range bucket, then windows of hot heads by hash; decided
+    spans under a negative bucket."""
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         chunk, rows = [], []
@@ -362,14 +442,14 @@ def _send(splitters: np.ndarray, buckets: int):
             keep = wanted[place] == mine
             found = {name: values[keep] for name, values in found.items()}
             open_rows, cuts = decide_at_home(contexts(data, ends, _ids(held), found))
+            fills = np.isin(open_rows["head"], hot)
+            windows, place, more = split_windows(open_rows[fills], parts)
+            cuts = np.concatenate([cuts, more])
+            open_rows = open_rows[~fills]
             ranges = np.searchsorted(splitters, open_rows["head"], "right")
-            order = np.argsort(ranges, kind="stable")
-            open_rows, ranges = open_rows[order], ranges[order]
-            starts = np.flatnonzero(np.diff(ranges, prepend=-1))
-            rows = [
-                (int(ranges[a]), open_rows[a:b].tobytes())
-                for a, b in zip(starts, [*starts[1:], len(ranges)])
-            ]
+            rows = _parts(np.argsort(ranges, kind="stable"), ranges, open_rows)
+            place += len(splitters) + 1
+            rows += _parts(np.argsort(place, kind="stable"), place, windows)
             chunk = left.column("chunk")[0].as_py()
             if len(cuts):
                 rows.append((-1 - chunk % (1 << 20), cuts.tobytes()))
@@ -456,31 +536,42 @@ def judge(rows: np.ndarray) -> np.ndarray:
     return back_to[hit], cuts
 
 
-def _judged(table: pa.Table) -> pa.Table:
-    squeeze = pa.Codec("zstd")
-    blobs = [
-        squeeze.decompress(x.as_buffer(), decompressed_size=n, asbytes=True)
-        for x, n in zip(table.column("suffixes"), table.column("size").to_pylist())
-    ]
-    chunks = np.array(table.column("chunk").to_pylist(), np.int64)
-    if table.column("bucket")[0].as_py() < 0:
-        return pa.table({"chunk": pa.array(chunks), "cuts": pa.array(blobs, pa.binary())})
-    parts = [np.frombuffer(blob, _SUFFIX) for blob in blobs]
-    owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
-    which, cuts = judge(np.concatenate(parts))
-    owner = owner[which]
-    by = np.argsort(owner, kind="stable")
-    owner, cuts = owner[by], cuts[by]
-    first = np.flatnonzero(np.diff(owner, prepend=-1))
-    return pa.table(
-        {
-            "chunk": pa.array(chunks[owner[first]]),
-            "cuts": pa.array(
-                [cuts[a:b].tobytes() for a, b in zip(first, [*first[1:], len(cuts)])],
-                pa.binary(),
-            ),
-        }
-    )
+def _judged(ranges: int):
+    """Removed spans of a bucket; windows are in the buckets from ``ranges`` on."""
+
+    def run(table: pa.Table) -> pa.Table:
+        squeeze = pa.Codec("zstd")
+        blobs = [
+            squeeze.decompress(x.as_buffer(), decompressed_size=n, asbytes=True)
+            for x, n in zip(table.column("suffixes"), table.column("size").to_pylist())
+        ]
+        chunks = np.array(table.column("chunk").to_pylist(), np.int64)
+        if table.column("bucket")[0].as_py() < 0:
+            return pa.table({"chunk": pa.array(chunks), "cuts": pa.array(blobs, pa.binary())})
+        whole = table.column("bucket")[0].as_py() >= ranges
+        parts = [np.frombuffer(blob, _WINDOW if whole else _SUFFIX) for blob in blobs]
+        owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
+        rows = np.concatenate(parts)
+        if whole:
+            which = np.flatnonzero(later(rows))
+            cuts = _window_cuts(rows[which])
+        else:
+            which, cuts = judge(rows)
+        owner = owner[which]
+        by = np.argsort(owner, kind="stable")
+        owner, cuts = owner[by], cuts[by]
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        return pa.table(
+            {
+                "chunk": pa.array(chunks[owner[first]]),
+                "cuts": pa.array(
+                    [cuts[a:b].tobytes() for a, b in zip(first, [*first[1:], len(cuts)])],
+                    pa.binary(),
+                ),
+            }
+        )
+
+    return run
 
 
 # -- results -------------------------------------------------------------------
@@ -545,13 +636,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets = max(1, -(-total["size"] // BUCKET_BYTES))
     share = max(1, total["n"] // SAMPLE_CHUNKS)
     sampled = chunks.filter(F.pmod(F.xxhash64("chunk"), F.lit(share)) == 0)
+    counted = sampled.mapInArrow(_heads(SAMPLE_HEADS), "head binary, n long")
+    counted = counted.groupBy("head").agg(
+        F.sum("n").alias("n"), F.count_if(F.col("n").isNull()).alias("sampled")
+    )
+    seen = max(1, sampled.count())
+    size = F.col("n") * F.lit(_SUFFIX.itemsize * total["n"] / seen)
+    fills = F.coalesce(size > BUCKET_BYTES, F.lit(False))
+    found = counted.select("head", "sampled", F.when(fills, size).alias("size"))
+    found = found.filter("sampled > 0 or size is not null").collect()
     heads = np.sort(
-        np.array(
-            [x["head"] for x in sampled.mapInArrow(_heads(SAMPLE_HEADS), "head binary").collect()],
-            f"S{GRAM}",
-        )
+        np.array([x["head"] for x in found for _ in range(x["sampled"])], f"S{GRAM}")
     )
     splitters = np.unique(heads[np.arange(1, buckets) * len(heads) // buckets]) if len(heads) else heads
+    hot = np.array([x["head"] for x in found if x["size"]], f"S{GRAM}")
+    wide = (_REACH + 1) * _WINDOW.itemsize / _SUFFIX.itemsize
+    parts = 1 + int(sum(x["size"] or 0 for x in found) * wide / BUCKET_BYTES)
     repeated = (
         chunks.mapInArrow(_offer(buckets), "bucket long, chunk long, once binary, often binary")
         .groupBy("bucket")
@@ -561,10 +661,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     cuts = (
         by_chunk.cogroup(repeated.groupBy("chunk"))
         .applyInArrow(
-            _send(splitters, buckets), "bucket long, chunk long, size long, suffixes binary"
+            _send(splitters, buckets, hot, parts), "bucket long, chunk long, size long, suffixes binary"
         )
         .groupBy("bucket")
-        .applyInArrow(_judged, "chunk long, cuts binary")
+        .applyInArrow(_judged(len(splitters) + 1), "chunk long, cuts binary")
     )
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return by_chunk.cogroup(cuts.groupBy("chunk")).applyInArrow(
