@@ -143,3 +143,9 @@ def test_one_line_in_many_contexts_is_parted(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 2000)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert ours(docs) == plain(rows)
+
+
+def test_decided_spans_of_all_chunks_have_buckets_of_their_own():
+    chunks = [(part << 32) + n for part in range(50) for n in range(3)]
+    found = {suffix_dedup.home_bucket(c) for c in chunks}
+    assert len(found) == len(chunks) and max(found) < 0

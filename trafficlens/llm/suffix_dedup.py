@@ -413,6 +413,11 @@ def _parts(order: np.ndarray, place: np.ndarray, rows: np.ndarray) -> list[tuple
     ]
 
 
+def home_bucket(chunk: int) -> int:
+    """A negative bucket for each chunk, so that decided spans are spread like chunks."""
+    return -1 - chunk
+
+
 def _send(splitters: np.ndarray, buckets: int, hot: np.ndarray, parts: int):
     """Suffixes of a chunk by range bucket, then windows of hot heads by hash; decided
     spans under a negative bucket."""
@@ -452,7 +457,7 @@ def _send(splitters: np.ndarray, buckets: int, hot: np.ndarray, parts: int):
             rows += _parts(np.argsort(place, kind="stable"), place, windows)
             chunk = left.column("chunk")[0].as_py()
             if len(cuts):
-                rows.append((-1 - chunk % (1 << 20), cuts.tobytes()))
+                rows.append((home_bucket(chunk), cuts.tobytes()))
         squeeze = pa.Codec("zstd", 3)
         return pa.table(
             {
