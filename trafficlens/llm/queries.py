@@ -12,6 +12,7 @@ from trafficlens.llm import (
     embeddings,
     language,
     packing,
+    periodic_runs,
     preferences,
     quality,
     revisits,
@@ -137,6 +138,35 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of them made periodic."""
+    docs = samples.periodic_documents(_table(spark, sf_dir, "documents"))
+    found = periodic_runs.collapse_runs(docs)
+    best = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less")
+            ),
+        )
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    told = found.select("doc_id", "runs", "collapsed", best.alias("best"))
+    length, period = F.col("best.length"), -F.col("best.less")
+    return told.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_warc_revisits": op2_warc_revisits,
@@ -148,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {

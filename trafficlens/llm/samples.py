@@ -94,3 +94,34 @@ def preference_messages(conversations: DataFrame) -> DataFrame:
         .select("pair_id", F.lit("rejected").alias("side"), F.col("place").alias("turn"), "role", "text")
     )
     return chosen.union(kept).union(other)
+
+
+def periodic_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and text of documents, the last words of every tenth one periodic.
+
+    The checksum h of an id chooses it if h % 10 is 0.  With g = h div 10, the words
+    from a = g % n on repeat the original ones from a to a + p, where p is one more
+    than (n - a) div (3 + g % 8).  Rows without an id, and texts without words, stay.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    mark = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        mark.alias("h"),
+        F.when(mark % 10 == 0, words).alias("words"),
+    )
+    numbered = chosen.select(
+        "doc_id", "text", "words", F.size("words").alias("n"), F.floor(F.col("h") / 10).alias("g")
+    )
+    placed = numbered.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    share = F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    told = placed.withColumn("p", 1 + share)
+    place = F.sequence(F.lit(0).cast("long"), F.col("n") - F.lit(1).cast("long"))
+
+    def original(i):
+        at = F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+        return F.get("words", at.cast("int"))
+
+    text = F.array_join(F.transform(place, original), " ")
+    return told.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
