@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.llm import (
+    conversation_repair,
     decontaminate,
     embeddings,
     language,
@@ -21,6 +22,7 @@ from trafficlens.llm import (
     suffix_dedup,
     url_filter,
 )
+from trafficlens.session import staged
 
 
 def vocabulary() -> str:
@@ -138,6 +140,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit and checksum of every conversation, damaged and repaired."""
+    conversations = _table(spark, sf_dir, "conversations")
+    messages = samples.damaged_messages(conversations)
+    audits = staged(conversation_repair.audit(messages), "audits")
+    sums = conversation_repair.digests(conversation_repair.repair(messages, audits))
+    # Every conversation has one row of each kind at most; nulls are a key here.
+    ids = conversations.select(F.col("conv_id").cast("long").alias("conv_id"))
+    parts = ids.unionByName(audits, allowMissingColumns=True).unionByName(
+        sums, allowMissingColumns=True
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return parts.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document, some of them made periodic."""
     docs = samples.periodic_documents(_table(spark, sf_dir, "documents"))
@@ -178,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -320,5 +342,94 @@ SELECT pair_id,
     coalesce(string_agg(span, ',' ORDER BY stop) FILTER (part = 'chosen'), '') AS chosen_train,
     coalesce(string_agg(span, ',' ORDER BY stop) FILTER (part = 'rejected'), '') AS rejected_train
 FROM spans JOIN sides USING (pair_id) GROUP BY pair_id
+""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+), checked AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(split(key, ''), lambda c: ascii(c)::BIGINT)),
+        lambda sum, byte: list_reduce(
+            list_prepend(xor(sum, byte), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+            lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END::BIGINT)
+        )
+    ), 4294967295::BIGINT) % 20 AS damage
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+        CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM (
+        SELECT * FROM checked WHERE damage <> 0
+        UNION ALL SELECT * FROM checked WHERE damage = 3
+    )
+), numbered AS (
+    SELECT coalesce(conv_id, -9223372036854775808) AS conv, turn, role, text,
+        row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown
+    FROM damaged
+), told AS (
+    SELECT *, CASE WHEN shown = '' THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate'
+            WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault,
+        CASE left(role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 0 END AS place,
+        left(lag(role) OVER (PARTITION BY conv ORDER BY i), 1) || left(role, 1) AS pair
+    FROM numbered
+), counted AS (
+    SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+        max(i) AS n
+    FROM told GROUP BY conv
+), moves(q, to_q, name) AS (
+    -- A role put after another: 0 at the start, 1 system, 2 user, 3 assistant.
+    VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')
+), gap(q, to_q, cost, edits, lines) AS (
+    -- No, one or two insertions.
+    SELECT q, q, 0, '', []::VARCHAR[] FROM moves
+    UNION ALL SELECT q, to_q, 3, 'I', [name || ':'] FROM moves
+    UNION ALL SELECT a.q, b.to_q, 6, 'II', [a.name || ':', b.name || ':']
+    FROM moves a JOIN moves b ON b.q = a.to_q
+), walk AS (
+    SELECT conv, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines
+    FROM counted
+    UNION ALL
+    SELECT conv, i, q, best.cost, best.audit, best.lines FROM (
+        SELECT conv, i, q, min(struct_pack(cost := cost, audit := audit, lines := lines)) AS best
+        FROM (
+            SELECT w.conv, t.i, e.q, w.cost + g.cost + e.cost AS cost,
+                w.audit || g.edits || e.edit AS audit, w.lines || g.lines || e.line AS lines
+            FROM walk w JOIN told t ON t.conv = w.conv AND t.i = w.i + 1
+            JOIN gap g ON g.q = w.q JOIN moves m ON m.q = g.to_q,
+            LATERAL (
+                SELECT 'D' AS edit, g.to_q AS q, 4 AS cost, []::VARCHAR[] AS line
+                UNION ALL SELECT 'K', t.place, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END,
+                    [t.role || ':' || t.text]
+                WHERE t.fault IN ('sound', 'truncated')
+                    AND (t.place = m.to_q OR (t.place = 1 AND g.to_q = 0))
+                UNION ALL SELECT 'R', m.to_q, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END,
+                    [m.name || ':' || t.text]
+                WHERE t.fault IN ('sound', 'truncated')
+            ) e
+        ) GROUP BY conv, i, q
+    )
+), ended AS (
+    SELECT w.conv, min(struct_pack(
+        cost := w.cost + g.cost, audit := w.audit || g.edits, lines := w.lines || g.lines)) AS best
+    FROM walk w JOIN counted c ON c.conv = w.conv AND c.n = w.i
+    JOIN gap g ON g.q = w.q AND g.to_q IN (0, 3)
+    GROUP BY w.conv
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+    coalesce(best.audit, '') AS audit,
+    sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN counted ON conv = coalesce(conv_id, -9223372036854775808)
+LEFT JOIN ended USING (conv)
 """,
 }

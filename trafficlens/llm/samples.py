@@ -96,6 +96,37 @@ def preference_messages(conversations: DataFrame) -> DataFrame:
     return chosen.union(kept).union(other)
 
 
+def damaged_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults, chosen by a checksum of ``conv_id:turn``.
+
+    Of twenty values 0 drops the row, 1 empties its text, 2 removes the marks that
+    end sentences, 3 repeats the row and 4 makes it the user's.  Nulls are one space,
+    in the checksum as well as for role and text.
+    """
+    space = F.lit(" ")
+    key = F.concat_ws(
+        ":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    )
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", space).alias("role"),
+        F.coalesce("text", space).alias("text"),
+        (F.crc32(key) % 20).alias("damage"),
+    )
+    damage = F.col("damage")
+    return rows.filter(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(damage == 1, "")
+        .when(damage == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
+    ).drop("col")
+
+
 def periodic_documents(docs: DataFrame) -> DataFrame:
     """``doc_id`` and text of documents, the last words of every tenth one periodic.
 
