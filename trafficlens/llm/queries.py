@@ -14,6 +14,7 @@ from trafficlens.llm import (
     language,
     packing,
     periodic_runs,
+    personal_data,
     preferences,
     quality,
     revisits,
@@ -140,6 +141,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans counted and digested, and all spans."""
+    found = personal_data.redact(_table(spark, sf_dir, "documents"))
+    counts = [personal_data.number(F.col("base"), kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.written(F.col("base")), 256).alias("base_sha256"),
+        personal_data.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit and checksum of every conversation, damaged and repaired."""
     conversations = _table(spark, sf_dir, "conversations")
@@ -199,6 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "op11_personal_data": op11_personal_data,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
