@@ -54,7 +54,7 @@ LOCAL = "[A-Za-z0-9._%+-]"
 LABEL = "[A-Za-z0-9-]"
 STRICT = {
     "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++@{LABEL}++(?:\.{LABEL}++)++",
-    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "ip": r"[0-9](?<![0-9]{2})[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -64,11 +64,27 @@ _DOT = r"(?:\x20?[(\[{]\x20?(?:dot|\.)\x20?[)\]}]\x20?|\.|\x20(?:dot|DOT)\x20)"
 _GAP = r"[\x20 .,/_–-]"
 LOOSE = {
     "email": rf"(?<!{LOCAL}){LOCAL}++{_AT}{LABEL}++(?:{_DOT}{LABEL}++)++",
-    "ip": rf"(?<![0-9])[0-9]{{1,3}}+(?:{_DOT}[0-9]{{1,3}}+){{3}}(?![0-9])",
-    "card": rf"(?<![0-9])[0-9](?:{_GAP}{{0,2}}+[0-9]){{11,18}}(?![0-9])",
+    "ip": rf"[0-9](?<![0-9]{{2}})[0-9]{{0,2}}+(?:{_DOT}[0-9]{{1,3}}+){{3}}(?![0-9])",
+    "card": rf"[0-9](?<![0-9]{{2}})(?:{_GAP}{{0,2}}+[0-9]){{11,18}}(?![0-9])",
     "phone": rf"(?<![0-9+])[(+]?[0-9](?:[()]{{0,2}}+{_GAP}{{0,2}}+[()]?[0-9]){{6,14}}(?![0-9])",
 }
 
+# Quick tests that a text without matches fails; they spare most texts the patterns.
+_MANY_DIGITS = r"[0-9](?:[^0-9]{0,5}+[0-9]){6}"
+
+
+def _may_hold(text: Column, kind: str, loose: bool) -> Column:
+    if kind == "email":
+        found = text.contains("@")
+        if loose:
+            for sign in (" at ", " AT ", "at)", "at]", "at}", "(at", "[at", "{at"):
+                found = found | text.contains(sign)
+        return found
+    if kind == "phone" and not loose:
+        return text.contains("+")
+    return text.rlike(_MANY_DIGITS if kind != "ip" else "[0-9]")
+
+
 # Words that stand before contacts, and before other numbers.
 CONTACT = r"(?i)(mail|tel|phone|fon|call|fax|contact|kontakt|mobil|correo|courriel|card|visa|ip|host)"
 CODE = r"(?i)(token|key|secret|hash|sha|version|id|isbn|[=\"'#$/])"
@@ -168,15 +184,21 @@ def sums_before(array: Column) -> Column:
     return F.flatten(F.zip_with(blocks, _sums(totals, zero), _sums))
 
 
-def _located(rows: DataFrame, text: str, pattern: str, into: str) -> DataFrame:
+def _matched(rows: DataFrame, text: str, pattern: str, where: Column) -> DataFrame:
+    """Adds ``found``, the matches of a pattern in a column, and the ``pieces`` between;
+    texts that are not ``where`` count as empty."""
+    pieces = F.split(F.when(where, F.col(text)).otherwise(""), pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    none = F.array().cast("array<string>")
+    return rows.withColumn("pieces", pieces).withColumn(
+        "found", F.when(F.size("pieces") > 1, found).otherwise(none)
+    )
+
+
+def _located(rows: DataFrame, text: str, pattern: str, where: Column, into: str) -> DataFrame:
     """Adds ``into``, the matches of a pattern in a column: array of structs ``start``,
     ``stop``, ``text``, ``left``, ``right``; further ``pieces`` between them and ``found``."""
-    rows = rows.withColumns(
-        {
-            "pieces": F.split(text, pattern, -1),
-            "found": F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        }
-    )
+    rows = _matched(rows, text, pattern, where)
     found = F.col("found")
     n = F.size(found)
     before, after = F.slice("pieces", F.lit(1), n), F.slice("pieces", F.lit(2), n)
@@ -300,21 +322,17 @@ def gather(docs: DataFrame) -> DataFrame:
     # Each kind looks at the whole text; what is found is masked in a copy.
     rows = rows.withColumn("rest", F.col("text"))
     for kind in KINDS:
-        rows = _located(rows, "text", STRICT[kind], "spans")
+        where = _may_hold(F.col("text"), kind, loose=False)
+        rows = _located(rows, "text", STRICT[kind], where, "spans")
+        rows = rows.withColumn(f"base_{kind}", F.filter("spans", _holding(kind)))
+        rows = _matched(rows, "rest", STRICT[kind], F.size(f"base_{kind}") > 0)
+        cover = masked(F.col("pieces"), F.col("found"), F.transform("found", _check(kind)))
         rows = rows.withColumn(
-            f"base_{kind}", F.filter("spans", _holding(kind))
-        )
-        rows = rows.withColumns(
-            {
-                "pieces": F.split("rest", STRICT[kind], -1),
-                "found": F.regexp_extract_all("rest", F.lit(STRICT[kind]), F.lit(0)),
-            }
-        )
-        holds = F.transform("found", _check(kind))
-        rows = rows.withColumn("rest", masked(F.col("pieces"), F.col("found"), holds))
-        rows = rows.drop("pieces", "found", "spans")
+            "rest", F.when(F.size("found") > 0, cover).otherwise(F.col("rest"))
+        ).drop("pieces", "found", "spans")
     for kind in KINDS:
-        rows = _located(rows, "rest", LOOSE[kind], f"loose_{kind}").drop("pieces", "found")
+        where = _may_hold(F.col("rest"), kind, loose=True)
+        rows = _located(rows, "rest", LOOSE[kind], where, f"loose_{kind}").drop("pieces", "found")
 
     def spans(kind: str, at: int) -> Column:
         return F.transform(
