@@ -25,12 +25,15 @@ COLUMNS = {
     ],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_personal_data": [
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"
+    ],
 }
 
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == [*range(1, 11), 12, 13]
+    assert numbers == [*range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 

@@ -37,7 +37,8 @@ TRAIN_ROWS = 40_000
 TREES = 20
 DEPTH = 4
 # Precision that added spans of a kind must reach on the calibration fold, the
-# examples it must rest on, and the steps between thresholds.
+# examples it must rest on (as must each leaf of a tree, so that none learns a single
+# proposal by heart), and the steps between thresholds.
 PRECISION = 0.95
 LEAST_EXAMPLES = 20
 STEPS = 200
@@ -286,7 +287,8 @@ def _disguised(kind: str, text: Column, way: Column) -> Column:
     """A base span as people write it to escape patterns; ``way`` is 0, 1 or 2."""
     if kind == "email":
         forms = [(" at ", " dot "), ("[at]", "[dot]"), (" (at) ", ".")]
-        made = [F.replace(F.replace(text, F.lit("."), F.lit(d)), F.lit("@"), F.lit(a)) for a, d in forms]
+        name, host = F.substring_index(text, "@", 1), F.substring_index(text, "@", -1)
+        made = [F.concat(name, F.lit(a), F.replace(host, F.lit("."), F.lit(d))) for a, d in forms]
     elif kind == "ip":
         made = [F.replace(text, F.lit("."), F.lit(d)) for d in ("[.]", " dot ", "(.)")]
     elif kind == "card":
@@ -434,14 +436,15 @@ class Model:
 
 
 def _thresholds(counts: list[tuple[int, int, int, int]], precision: float) -> dict[int, float]:
-    """The lowest thresholds of that precision, from (kind, step, positive, all)."""
+    """The lowest thresholds above one half at which the spans over them have that
+    precision, from (kind, step, positive, all)."""
+    at = {(kind, step): (positive, n) for kind, step, positive, n in counts}
     found: dict[int, float] = {}
     for kind in {c[0] for c in counts}:
         right = total = 0
-        for _, step, positive, n in sorted((c for c in counts if c[0] == kind), reverse=True):
+        for step in range(STEPS, STEPS // 2, -1):
+            positive, n = at.get((kind, step), (0, 0))
             right, total = right + positive, total + n
-            if step * 2 <= STEPS:
-                break
             if total >= LEAST_EXAMPLES and (right + 1) / (total + 2) >= precision:
                 found[kind] = step / STEPS
     return found
@@ -465,7 +468,13 @@ def fit(gathered: DataFrame, train_rows: int = TRAIN_ROWS, precision: float = PR
     if sample.select("label").distinct().count() < 2:
         return Model()
     fitted = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=5
+        featuresCol="vector",
+        labelCol="label",
+        maxIter=TREES,
+        maxDepth=DEPTH,
+        minInstancesPerNode=LEAST_EXAMPLES,
+        stepSize=0.3,
+        seed=5,
     ).fit(sample.select("label", array_to_vector("features").alias("vector")))
     model = Model(
         [(w, parse_tree(t.toDebugString)) for w, t in zip(fitted.treeWeights, fitted.trees)]
