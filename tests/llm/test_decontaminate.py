@@ -219,3 +219,59 @@ def test_terms_of_long_and_many_passages(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
         vectors = d.latent_terms(docs, terms).astype(float)
         assert np.allclose(vectors @ vectors.T @ gram, np.eye(25), atol=0.02)
+
+
+def searched(benchmark, rows):
+    import numpy as np
+    import pyarrow as pa
+
+    items = d.Items()
+    for i, text in benchmark:
+        items.add(i, text)
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": text} for i, text in rows])
+    vectors = np.ones((len(items.terms), 1), np.float32)
+    return [r for b in d._search(items, vectors)(iter([batch])) for r in b.to_pylist()]
+
+
+def test_windows_across_the_slices_of_a_long_text():
+    """A reworded item as wide as its window, with the end of a slice at every place of it."""
+    words = [f"item{i:03d}" for i in range(40)]
+    kept = words[:28]  # 70 % of the words, without the answer
+    end = d.SLICE // 8 + 1  # words of the first slice: each takes eight characters
+    rows = []
+    for at in range((end - 72) // d.STEP * d.STEP, end + 8, d.STEP):
+        text = [f"w{i % 900_000:06d}" for i in range(end + 200)]
+        text[at : at + 14], text[at + 50 : at + 64] = kept[:14], kept[14:]
+        rows.append((at, " ".join(text)))
+    benchmark = [(1, " ".join(words))]
+    assert sum(len(w) + 1 for w in text[: end - 1]) == d.SLICE
+    found = searched(benchmark, rows)
+    assert by_check_alone(rows[:2], benchmark) == {(at, 1) for at, _ in rows[:2]}
+    assert [(r["doc_id"], r["first_word"], r["lcs_share"]) for r in found] == [
+        (at, at, 0.7) for at, _ in rows
+    ]
+
+
+def test_parts_of_a_long_text_begin_at_whole_steps():
+    text = " ".join(f"w{i}" for i in range(3000))
+    words = d.words_of(text)
+    for size, overlap in ((100, 24), (1000, 64), (333, 40)):
+        after = 0
+        for first, part in d.blocks(text, size, overlap):
+            assert first % d.STEP == 0 and part == words[first : first + len(part)]
+            assert after == 0 or after - first >= min(overlap, after)
+            after = first + len(part)
+        assert after == len(words)
+    assert [w for _, part in d.blocks(text, 100) for w in part] == words
+
+
+def test_the_end_of_a_long_item_is_no_short_item():
+    """An item just over a section has two halves, each checked for rewording and answer."""
+    words = [f"word{i}" for i in range(d.SECTION + 5)]
+    around = [f"other{i}" for i in range(60)]
+    half = [f"new{i}" if i % 8 == 3 else w for i, w in enumerate(words)][len(words) // 2 :]
+    half[-2] = "new"
+    texts = [words, half, words[-5:], words[: len(words) // 4]]
+    rows = [(i, " ".join(around + x + around)) for i, x in enumerate(texts)]
+    found = searched([(1, " ".join(words))], rows)
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 1), (0, 1), (1, 1)]
