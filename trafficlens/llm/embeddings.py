@@ -55,7 +55,7 @@ MOST_COPIES = 1 << 16
 ROUNDS = 5
 # Rows of two blocks that are multiplied at once, and bytes of blocks that a task keeps.
 TILE = (1024, 1024)
-KEPT = 128 << 20
+KEPT = 48 << 20
 # Above this share of its pairs a product is made in double precision as a whole.
 MANY = 0.02
 
